@@ -17,8 +17,22 @@ def no_null_keys() -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in KEYS])
 
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on ``keys`` where NULL matches NULL; the left keys are kept."""
+def match(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    never_null: Sequence[str] = (),
+) -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL; the left keys are kept.
+
+    Keys in ``never_null`` are compared plainly, which can reuse a partitioning.
+    """
     other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    same = [
+        F.col(k) == F.col(f"_right_{k}")
+        if k in never_null
+        else F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+        for k in keys
+    ]
     return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])

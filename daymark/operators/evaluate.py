@@ -44,7 +44,7 @@ def _with_totals_above(counts: DataFrame, within: Sequence[str], digit: str) ->
 def _with_carry(counts: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     names = ("_n_pos_above", "_n_neg_above")
     carry = carry.select(*keys, *[F.col(n).alias(f"{n}_carry") for n in names])
-    return match(counts, carry, keys).select(
+    return match(counts, carry, keys, "inner", never_null=keys[-1:]).select(
         *[c for c in counts.columns if c not in names],
         *[(F.col(n) + F.col(f"{n}_carry")).alias(n) for n in names],
     )

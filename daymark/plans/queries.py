@@ -230,37 +230,77 @@ def fairness_calibration(spark, folder):
 MODEL_FEATURES = [*MEASURED, *TREND_COLUMNS]
 
 
-def _train_and_test(spark, folder):
-    """Trends and SIC labels from one window sort, split by subject."""
-    days = features.with_trends(read_patient_days(spark, folder), **TRENDS, unique_days=True)
-    labelled = labels.merge_in_one_pass(days, unique_days=True)
-    rows = models.modelling_table(labelled, SIC.onset, MODEL_FEATURES)
+def _days_with_trends(spark, folder):
+    return features.with_trends(read_patient_days(spark, folder), **TRENDS, unique_days=True)
+
+
+def _split(labelled, onset):
+    rows = models.modelling_table(labelled, onset, MODEL_FEATURES)
     split = features.with_split(rows)
     train = split.filter(F.col("split") == "train").drop("split")
     return train, split.filter(F.col("split") != "train").drop("split")
 
 
+def _sic_onset_rows(spark, folder):
+    """Next-day SIC: trends and labels come from one exchange and one sort."""
+    labelled = labels.merge_in_one_pass(_days_with_trends(spark, folder), unique_days=True)
+    return _split(labelled, SIC.onset)
+
+
+def _dic_progression_rows(spark, folder):
+    """Next-day DIC among the days with SIC."""
+    days = _days_with_trends(spark, folder)
+    labelled = labels.on_sic_days(labels.label_progression(days, JAAM, unique_days=True), JAAM)
+    return _split(labelled, JAAM.onset)
+
+
+def _logistic(train):
+    return models.fit_logistic(train, MODEL_FEATURES)
+
+
+def _trees(train):
+    return models.fit_boosted_trees(train, MODEL_FEATURES, maxIter=10)
+
+
 def logistic(spark, folder):
-    train, test = _train_and_test(spark, folder)
-    return models.predict(models.fit_logistic(train, MODEL_FEATURES), test)
+    train, test = _sic_onset_rows(spark, folder)
+    return models.predict(_logistic(train), test)
 
 
 def gbt(spark, folder):
-    train, test = _train_and_test(spark, folder)
-    return models.predict(models.fit_boosted_trees(train, MODEL_FEATURES, maxIter=10), test)
+    train, test = _sic_onset_rows(spark, folder)
+    return models.predict(_trees(train), test)
+
+
+def gbt_dic_progression(spark, folder):
+    train, test = _dic_progression_rows(spark, folder)
+    return models.predict(_trees(train), test)
 
 
 def model_evaluation(spark, folder):
-    train, test = _train_and_test(spark, folder)
-    return evaluate.summary(
-        models.predict(models.fit_logistic(train, MODEL_FEATURES), test), threshold=0.1
-    )
+    """Every metric for both models and both prediction tasks."""
+    predicted = []
+    for task, rows in (("sic", _sic_onset_rows), ("dic", _dic_progression_rows)):
+        train, test = rows(spark, folder)
+        for name, fit in (("logistic", _logistic), ("trees", _trees)):
+            scored = models.predict(fit(train), test)
+            predicted.append(
+                scored.select(F.lit(task).alias("task"), F.lit(name).alias("model"), "label", "score")
+            )
+    together = predicted[0]
+    for other in predicted[1:]:
+        together = together.union(other)
+    return evaluate.summary(together, threshold=0.2, groups=["task", "model"])
+
+
+def tree_importance(spark, folder):
+    train, _ = _sic_onset_rows(spark, folder)
+    return models.tree_importance(_trees(train), MODEL_FEATURES, spark)
 
 
 def permutation_importance(spark, folder):
-    train, test = _train_and_test(spark, folder)
-    model = models.fit_logistic(train, MODEL_FEATURES)
-    return models.permutation_importance(model, test, MODEL_FEATURES)
+    train, test = _sic_onset_rows(spark, folder)
+    return models.permutation_importance(_logistic(train), test, MODEL_FEATURES)
 
 
 QUERIES: dict[str, Query] = {
@@ -298,7 +338,9 @@ QUERIES: dict[str, Query] = {
         fairness_calibration,
         logistic,
         gbt,
+        gbt_dic_progression,
         model_evaluation,
+        tree_importance,
         permutation_importance,
     )
 }

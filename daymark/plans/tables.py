@@ -49,6 +49,8 @@ def build_label_tables(
     exchange; a bucket holds whole stays, hence only with ``unique_days``.
     ``last_mode="ignore"`` leaves an existing final table as it is.
     """
+    if source.rstrip("/") in {getattr(target, n).rstrip("/") for n in target.__dataclass_fields__}:
+        raise ValueError(f"{source} would be replaced while it is read")
     days = read_table(spark, source)
     write_table(sic_labels(days, sic, **over), target.sic_labels, sort_by=["stay_id", DAY])
 
