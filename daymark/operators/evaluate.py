@@ -21,9 +21,15 @@ SCALE = LEVEL**3  # scores are told apart to twelve decimals
 
 def _score_key(score: str) -> Column:
     in_range = F.col(score).between(0, 1)
-    return F.when(in_range, F.round(F.col(score) * F.lit(float(SCALE))).cast("long")).otherwise(
+    key = F.when(in_range, F.round(F.col(score) * F.lit(float(SCALE))).cast("long")).otherwise(
         F.raise_error(F.lit("a score must be a probability")).cast("long")
     )
+    return _never_null(key)
+
+
+def _never_null(column: Column) -> Column:
+    """Tells the optimizer so; it would add NULL filters that keep exchanges from being shared."""
+    return F.coalesce(column, F.lit(0).cast("long"))
 
 
 def _known(scored: DataFrame, label: str, score: str) -> DataFrame:
@@ -71,8 +77,8 @@ def ranking_curve(
         )
         .withColumns(
             {
-                "_middle": F.floor(F.col("_key") / LEVEL),
-                "_top": F.floor(F.col("_key") / LEVEL**2),
+                "_middle": _never_null(F.floor(F.col("_key") / LEVEL)),
+                "_top": _never_null(F.floor(F.col("_key") / LEVEL**2)),
             }
         )
     )
@@ -100,14 +106,19 @@ def _whole(column: Column) -> Column:
 
 
 def auroc_columns() -> list[Column]:
-    """Aggregates over a ranking curve; a tie counts as half a win."""
-    wins = _whole(F.col("n_neg")) * _whole(2 * F.col("tp") - F.col("n_pos"))
+    """Aggregates over a ranking curve; a tie counts as half a win.
+
+    Pairs split into wins, losses and ties, so twice (wins + ties / 2) is
+    pairs + wins - losses.
+    """
     positives, negatives = F.sum("n_pos"), F.sum("n_neg")
-    pairs = 2 * positives.cast("double") * negatives.cast("double")
+    wins = F.sum(_whole(F.col("n_neg")) * _whole(F.col("tp") - F.col("n_pos")))
+    losses = F.sum(_whole(F.col("n_pos")) * _whole(F.col("fp") - F.col("n_neg")))
+    pairs = _whole(positives) * _whole(negatives)
     return [
         positives.alias("n_pos"),
         negatives.alias("n_neg"),
-        F.try_divide(F.sum(wins).cast("double"), pairs).alias("auroc"),
+        F.try_divide((pairs + wins - losses).cast("double"), 2 * pairs.cast("double")).alias("auroc"),
     ]
 
 
