@@ -87,7 +87,7 @@ class Criterion:
     @property
     def day_columns(self) -> list[str]:
         """Columns that depend on the day alone."""
-        named = [s.name for s in self.part_scores] + [name for name, _ in self.parts]
+        named = [n for name, scores in self.parts for n in (*[s.name for s in scores], name)]
         named += [s.name for s in self.scores]
         return named + ([self.total] if self.total else []) + [self.today]
 
@@ -108,12 +108,10 @@ def flag_at(total: Column, cut: int) -> Column:
 
 def score_days(days: DataFrame, criterion: Criterion) -> DataFrame:
     """Add every column of ``criterion`` that depends on the day alone."""
-    own = criterion.part_scores + criterion.scores
-    days = days.withColumns({s.name: s.column() for s in own})
-    if criterion.parts:
-        days = days.withColumns(
-            {name: total_of([s.name for s in scores]) for name, scores in criterion.parts}
-        )
+    for name, scores in criterion.parts:
+        days = days.withColumns({s.name: s.column() for s in scores})
+        days = days.withColumn(name, total_of([s.name for s in scores]))
+    days = days.withColumns({s.name: s.column() for s in criterion.scores})
     terms = [name for name, _ in criterion.parts] + [s.name for s in criterion.scores]
     total = total_of(terms)
     if criterion.total:

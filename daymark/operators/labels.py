@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,21 @@ from daymark.operators.checks import reject_columns, require_columns
 from daymark.operators.series import Neighbour, over_stays
 
 
-def _follow(days: DataFrame, criteria: tuple[Criterion, ...], neighbour: Neighbour) -> DataFrame:
-    """Add scores, next-row status and onset for all ``criteria`` in one window."""
-    for criterion in criteria:
-        days = score_days(days, criterion)
+def _look_ahead(days: DataFrame, criteria: Sequence[Criterion], neighbour: Neighbour) -> DataFrame:
+    """Add next-row status and onset to scored days; all criteria share one window."""
     days = neighbour(days, {c.tomorrow: (c.today, 1) for c in criteria})
     return days.withColumns({c.onset: onset_of(c.today, c.tomorrow) for c in criteria})
 
 
-def _follow_sic(days: DataFrame, criterion: Criterion, neighbour: Neighbour) -> DataFrame:
-    followed = _follow(days, (criterion,), neighbour)
+def _score_all(days: DataFrame, criteria: Sequence[Criterion]) -> DataFrame:
+    for criterion in criteria:
+        days = score_days(days, criterion)
+    return days
+
+
+def _known_ahead(days: DataFrame, criterion: Criterion, neighbour: Neighbour) -> DataFrame:
+    """Scored days whose next row has a known status, with that status and onset."""
+    followed = _look_ahead(days, (criterion,), neighbour)
     return followed.filter(F.col(criterion.tomorrow).isNotNull())
 
 
@@ -37,16 +44,15 @@ def label_days(days: DataFrame, *criteria: Criterion, **over) -> DataFrame:
     passed on to :func:`daymark.operators.series.over_stays`.
     """
     _check(days, criteria)
-    return over_stays(days, lambda rows, neighbour: _follow(rows, criteria, neighbour), **over)
+    scored = _score_all(days, criteria)
+    return over_stays(scored, lambda rows, look: _look_ahead(rows, criteria, look), **over)
 
 
 def sic_labels(days: DataFrame, criterion: Criterion = SIC, **over) -> DataFrame:
     """Label table: keys, inputs and labels of the days with a known follow-up."""
     _check(days, (criterion,))
-    narrow = days.select(*KEYS, *criterion.inputs)
-    return over_stays(
-        narrow, lambda rows, neighbour: _follow_sic(rows, criterion, neighbour), **over
-    )
+    scored = score_days(days.select(*KEYS, *criterion.inputs), criterion)
+    return over_stays(scored, lambda rows, look: _known_ahead(rows, criterion, look), **over)
 
 
 def merge_in_one_pass(days: DataFrame, criterion: Criterion = SIC, **over) -> DataFrame:
@@ -58,11 +64,8 @@ def merge_in_one_pass(days: DataFrame, criterion: Criterion = SIC, **over) -> Da
     window, which cannot change another row's follow-up.
     """
     _check(days, (criterion,))
-    return over_stays(
-        days.filter(no_null_keys()),
-        lambda rows, neighbour: _follow_sic(rows, criterion, neighbour),
-        **over,
-    )
+    scored = score_days(days.filter(no_null_keys()), criterion)
+    return over_stays(scored, lambda rows, look: _known_ahead(rows, criterion, look), **over)
 
 
 def merge_by_join(
@@ -104,11 +107,47 @@ def label_progression(
     _check(days, (sic, *criteria))
 
     def step(rows: DataFrame, neighbour: Neighbour) -> DataFrame:
-        return _follow(_follow_sic(rows, sic, neighbour), criteria, neighbour)
+        kept = _known_ahead(rows, sic, neighbour)
+        return _look_ahead(_score_all(kept, criteria), criteria, neighbour)
 
-    return over_stays(days.filter(no_null_keys()), step, **over)
+    return over_stays(score_days(days.filter(no_null_keys()), sic), step, **over)
 
 
 def on_sic_days(labelled: DataFrame, criterion: Criterion, sic: Criterion = SIC) -> DataFrame:
     """Days with SIC whose DIC onset is known: the set used for modelling."""
     return labelled.filter((F.col(sic.today) == 1) & F.col(criterion.onset).isNotNull())
+
+
+def sic_to_dic(
+    days: DataFrame, criterion: Criterion, sic: Criterion = SIC, **over
+) -> DataFrame:
+    """:func:`on_sic_days` of :func:`label_progression`, with a lighter exchange.
+
+    Days without SIC are needed to follow a stay but never leave the job, and
+    they are most of the table. Columns that no rule reads therefore travel
+    only with the days that have SIC.
+    """
+    _check(days, (sic, criterion))
+    read = [c.lower() for c in (*KEYS, *sic.inputs, *criterion.inputs)]
+    carried = [c for c in days.columns if c.lower() not in read]
+
+    # The flag has to be known before the exchange; it is a function of the day.
+    scored = score_days(days.filter(no_null_keys()), sic)
+    load = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)])
+    light = scored.select(
+        *[f"`{c}`" for c in days.columns if c.lower() in read],
+        *sic.day_columns,
+        *([F.when(F.col(sic.today) == 1, load).alias("_load")] if carried else []),
+    )
+
+    def step(rows: DataFrame, neighbour: Neighbour) -> DataFrame:
+        kept = score_days(_known_ahead(rows, sic, neighbour), criterion)
+        return on_sic_days(_look_ahead(kept, (criterion,), neighbour), criterion, sic)
+
+    chosen = over_stays(light, step, **over)
+    unpacked = {c: F.col(f"_load.c{i}").alias(c) for i, c in enumerate(carried)}
+    return chosen.select(
+        *[unpacked.get(c, F.col(f"`{c}`")) for c in days.columns],
+        *sic.outputs,
+        *criterion.outputs,
+    )

@@ -7,21 +7,17 @@ exchange, one sort, shared by every window of the step.
 A table with repeated days, copied rows or missing ids can hold a stay that
 is far too big for one task. Unless the caller knows that days are unique, a
 count over the two id columns looks for such stays first. If there are any,
-they take another way to the same result:
+their rows take another way to the same result:
 
-* identical rows are counted instead of kept (``_copies``), with the count
-  done before the shuffle;
-* the rest is ordered by day and then by a hash of the row, and cut into
-  slices by day and leading hash bits. A window runs inside each slice, one
-  over the slices of a day (at most 2**16) and one over the days of a stay
-  (bounded by the calendar), the last two on one small row per slice or day;
-* the copies are written out again in blocks spread over all tasks.
+* each row gets an id and, from it, a slice of its day; both are fixed by a
+  checkpoint, so a recomputed task sees the same order. A stay gets as many
+  slices as keep each of them well below the size for one task;
+* a window runs inside each slice of a day, another over the slices of a day
+  and a third over the days of a stay. The last two see one small row per
+  slice or day, combined before the shuffle.
 
-Each look at a neighbour reads its rows several times, so they are checkpointed
-before it.
-
-Rows of one day have no order of their own, so any order among them gives a
-valid LEAD; this one is fixed by the rows' content and survives recomputation.
+Rows of one day have no order of their own, so any order among them is a
+valid order for LEAD.
 """
 
 from __future__ import annotations
@@ -34,14 +30,13 @@ from pyspark.sql import functions as F
 from daymark.functions.keys import DAY, STAY, match
 from daymark.session import cut_lineage
 
-Neighbour = Callable[..., DataFrame]
+Neighbour = Callable[[DataFrame, Mapping[str, tuple[str, int]]], DataFrame]
 Step = Callable[[DataFrame, Neighbour], DataFrame]
 
 ROWS_PER_TASK = 1_000_000  # a stay up to this size is sorted by one task
 MAX_BIG_STAYS = 100_000  # bounds the broadcast list of larger stays
-SLICE_BITS = 16
-COPIES_PER_BLOCK = 100_000
-ORDER_COLUMNS = ["_copies", "_tie", "_place"]
+SLICES_PER_TASK = 4
+SLICED_DAY = [*STAY, DAY, "_slice"]
 
 
 def neighbour_in_window(days: DataFrame, columns: Mapping[str, tuple[str, int]]) -> DataFrame:
@@ -74,17 +69,22 @@ def over_stays(
     if big.isEmpty():
         return step(days, neighbour_in_window)
     usual = match(days, F.broadcast(big), STAY, "left_anti")
-    large = match(days, F.broadcast(big), STAY, "left_semi")
+    large = match(days, F.broadcast(big), STAY, "inner")
     return step(usual, neighbour_in_window).unionByName(
-        _write_out(step(_count_copies(large), neighbour_in_slices))
+        step(_slice_days(large), neighbour_in_slices).drop("_row", "_slice")
     )
 
 
 def neighbour_in_slices(days: DataFrame, columns: Mapping[str, tuple[str, int]]) -> DataFrame:
-    """``neighbour_in_window`` for counted rows of very large stays."""
+    """``neighbour_in_window`` for the sliced rows of very large stays.
+
+    Rows far ahead are reached one hop at a time. A hop reads its rows twice,
+    so they are checkpointed in between.
+    """
     for ahead in (True, False):
         wanted = {new: at for new, at in columns.items() if (at[1] > 0) == ahead}
-        seen = {old: f"_seen{i}" for i, old in enumerate(dict.fromkeys(o for o, _ in wanted.values()))}
+        olds = dict.fromkeys(old for old, _ in wanted.values())
+        seen = {old: f"_seen{i}" for i, old in enumerate(olds)}
         days = days.withColumns({name: F.col(old) for old, name in seen.items()})
         for hop in range(1, max((abs(k) for _, k in wanted.values()), default=0) + 1):
             days = _one_row_away(cut_lineage(days), list(seen.values()), ahead)
@@ -96,83 +96,48 @@ def neighbour_in_slices(days: DataFrame, columns: Mapping[str, tuple[str, int]])
 
 
 def _big_stays(days: DataFrame, rows_per_task: int) -> DataFrame:
-    """Stays above ``rows_per_task``; never more than ``MAX_BIG_STAYS`` of them."""
+    """Stays above ``rows_per_task`` and their number of slices.
+
+    Never more than ``MAX_BIG_STAYS``: with that many, each holds more than an
+    equal share of the table.
+    """
     sizes = days.groupBy(*STAY).agg(F.count(F.lit(1)).alias("_rows"))
     share = days.agg((F.count(F.lit(1)) / MAX_BIG_STAYS).alias("_share")).scalar()
-    return sizes.filter(F.col("_rows") > F.greatest(F.lit(rows_per_task), share)).select(*STAY)
+    return sizes.filter(F.col("_rows") > F.greatest(F.lit(rows_per_task), share)).select(
+        *STAY, F.ceil(F.col("_rows") * SLICES_PER_TASK / rows_per_task).alias("_slices")
+    )
 
 
-def _count_copies(days: DataFrame) -> DataFrame:
-    names = [f"`{c}`" for c in days.columns]
-    hashable = [f"`{n}`" for n, t in days.dtypes if "map<" not in t]
-    return (
-        days.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumns({"_tie": F.xxhash64(*hashable), "_place": F.array().cast("array<int>")})
+def _slice_days(days: DataFrame) -> DataFrame:
+    """Give each row an id and a slice, and fix them in reliable storage."""
+    return cut_lineage(
+        days.withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_slice", F.pmod(F.xxhash64("_row"), F.col("_slices")))
+        .drop("_slices")
     )
 
 
 def _one_row_away(days: DataFrame, columns: list[str], ahead: bool) -> DataFrame:
     """Replace ``columns`` by their values in the next (or previous) row of the stay."""
     look, nearest = (F.lead, F.min) if ahead else (F.lag, F.max)
-    values = F.struct(*columns)
-    days = days.withColumns(
-        {"_slice": F.shiftright("_tie", 64 - SLICE_BITS), "_here": values}
-    )
+    days = days.withColumn("_here", F.struct(*columns))
 
     # The row of a slice, and of a day, that its neighbour gets to see.
-    facing = nearest("_facing").alias("_facing")
-    slices = (
-        days.withColumn("_facing", F.struct("_tie", "_place", "_here"))
-        .groupBy(*STAY, DAY, "_slice")
-        .agg(facing)
-    )
-    per_day = slices.groupBy(*STAY, DAY).agg(facing)
+    slices = days.groupBy(*SLICED_DAY).agg(nearest(F.struct("_row", "_here")).alias("_edge"))
+    per_day = slices.groupBy(*STAY, DAY).agg(nearest(F.struct("_slice", "_edge")).alias("_edge"))
 
     by_day = Window.partitionBy(*STAY).orderBy(DAY)
     by_slice = Window.partitionBy(*STAY, DAY).orderBy("_slice")
-    by_row = Window.partitionBy(*STAY, DAY, "_slice").orderBy("_tie", "_place", "_here")
-
-    next_day = per_day.select(*STAY, DAY, look("_facing._here").over(by_day).alias("_next_day"))
-    next_slice = match(
-        slices.withColumn("_next_slice", look("_facing._here").over(by_slice)),
-        next_day,
-        [*STAY, DAY],
-    ).select(*STAY, DAY, "_slice", F.coalesce("_next_slice", "_next_day").alias("_beyond"))
-
-    days = match(
-        days.withColumn("_near", look("_here").over(by_row)), next_slice, [*STAY, DAY, "_slice"]
-    )
-
-    # Of n copies one sees the neighbour, the others see a copy of themselves.
-    def part(copies, seen, place):
-        grown = F.concat("_place", F.array(F.lit(place)))
-        return F.struct(copies.alias("n"), seen.alias("seen"), grown.alias("place"))
-
-    outer = part(F.lit(1).cast("long"), F.coalesce("_near", "_beyond"), int(ahead))
-    inner = part(F.col("_copies") - 1, F.col("_here"), int(not ahead))
-    parts = F.filter(F.array(outer, inner), lambda p: p["n"] > 0)
-    return (
-        days.withColumn("_part", F.explode(parts))
-        .withColumns(
-            {name: F.col(f"_part.seen.{name}") for name in columns}
-            | {"_copies": F.col("_part.n"), "_place": F.col("_part.place")}
-        )
-        .drop("_slice", "_here", "_near", "_beyond", "_part")
-    )
-
-
-def _write_out(days: DataFrame) -> DataFrame:
-    """One row per copy again, without piling the copies up in one task."""
-    # A fixed number of partitions: the blocks look small before they are opened.
-    partitions = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last_block = F.floor((F.col("_copies") - 1) / COPIES_PER_BLOCK)
-    in_block = F.least(
-        F.lit(COPIES_PER_BLOCK), F.col("_copies") - F.col("_block") * COPIES_PER_BLOCK
-    ).cast("int")
-    return (
-        days.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-        .repartition(partitions, "_tie", "_place", "_block")
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), in_block)))
-        .drop(*ORDER_COLUMNS, "_block", "_copy")
+    by_row = Window.partitionBy(*SLICED_DAY).orderBy("_row")
+
+    next_day = per_day.select(*STAY, DAY, look("_edge._edge._here").over(by_day).alias("_next_day"))
+    beyond = match(
+        slices.withColumn("_next_slice", look("_edge._here").over(by_slice)), next_day, [*STAY, DAY]
+    ).select(*SLICED_DAY, F.coalesce("_next_slice", "_next_day").alias("_beyond"))
+
+    days = days.withColumn("_near", look("_here").over(by_row))
+    days = match(days, beyond, SLICED_DAY, never_null=["_slice"])
+    days = days.withColumn("_seen", F.coalesce("_near", "_beyond"))
+    return days.withColumns({c: F.col(f"_seen.{c}") for c in columns}).drop(
+        "_here", "_near", "_beyond", "_seen"
     )

@@ -136,7 +136,7 @@ def isth_dic_labels(spark, folder):
 
 
 def sic_to_dic_isth(spark, folder):
-    return labels.on_sic_days(isth_dic_labels(spark, folder), ISTH)
+    return labels.sic_to_dic(read_patient_days(spark, folder), ISTH, unique_days=True)
 
 
 def sirs_scores(spark, folder):
@@ -154,14 +154,11 @@ def jaam_dic_labels(spark, folder):
 
 
 def sic_to_dic_jaam(spark, folder):
-    return labels.on_sic_days(jaam_dic_labels(spark, folder), JAAM)
+    return labels.sic_to_dic(read_patient_days(spark, folder), JAAM, unique_days=True)
 
 
 def sic_to_dic_jaam_big_stays(spark, folder):
-    days = read_patient_days(spark, folder)
-    return labels.on_sic_days(
-        labels.label_progression(days, JAAM, rows_per_task=BIG_STAY), JAAM
-    )
+    return labels.sic_to_dic(read_patient_days(spark, folder), JAAM, rows_per_task=BIG_STAY)
 
 
 def dic_labels_both(spark, folder):
@@ -250,8 +247,7 @@ def _sic_onset_rows(spark, folder):
 def _dic_progression_rows(spark, folder):
     """Next-day DIC among the days with SIC."""
     days = _days_with_trends(spark, folder)
-    labelled = labels.on_sic_days(labels.label_progression(days, JAAM, unique_days=True), JAAM)
-    return _split(labelled, JAAM.onset)
+    return _split(labels.sic_to_dic(days, JAAM, unique_days=True), JAAM.onset)
 
 
 def _logistic(train):

@@ -141,3 +141,24 @@ def test_progression_counts(small_days):
     jaam = labels.on_sic_days(both, JAAM)
     assert (isth.count(), isth.filter("dic_next_day = 1").count()) == (25, 1)
     assert (jaam.count(), jaam.filter("jaam_dic_progression = 1").count()) == (29, 5)
+
+
+@pytest.mark.parametrize("criterion", [ISTH, JAAM])
+@pytest.mark.parametrize("over", [{"unique_days": True}, {"rows_per_task": 10}])
+def test_lighter_progression_set(small_days, criterion, over):
+    days = small_days.withColumns(
+        {
+            "ward.name": F.concat(F.lit("w"), F.col("subject_id")),
+            "Note": F.when(F.col("subject_id") % 2 == 0, F.col("chart_date")),
+            "more": F.create_map(F.lit("k"), F.col("wbc_avg")),
+        }
+    )
+    expected = labels.on_sic_days(labels.label_progression(days, criterion, unique_days=True), criterion)
+    got = labels.sic_to_dic(days, criterion, **over)
+    assert got.dtypes == expected.dtypes
+    assert rows_of(got) == rows_of(expected)
+
+
+def test_progression_set_without_other_columns(small_days):
+    days = small_days.select(*KEYS, *SIC.inputs, "pt_avg", "fibrinogen_avg", "d_dimer_avg")
+    assert labels.sic_to_dic(days, ISTH, unique_days=True).count() == 25

@@ -1,8 +1,9 @@
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from daymark.operators import series
 from daymark.operators.series import over_stays
@@ -16,13 +17,12 @@ def ahead_and_back(rows, neighbour):
 
 
 def stays(seed):
-    """Stays with repeated days, copied rows, NULL ids and NULL days."""
+    """Stays with repeated days, NULL ids and NULL days; ``rid`` tells rows apart."""
     rng = random.Random(seed)
     rows = []
     for stay in [(1, 1), (1, 2), (2, 1), (None, 1), (None, None)]:
-        for _ in range(rng.choice([1, 4, 12])):
-            row = (*stay, rng.choice([None, 0, 1, 2, 5, 9]), rng.randrange(1000))
-            rows += [row] * rng.choice([1, 1, 1, 3])
+        for _ in range(rng.choice([1, 4, 12, 30])):
+            rows.append((*stay, rng.choice([None, 0, 1, 1, 1, 2, 5, 9]), len(rows)))
     return rows
 
 
@@ -31,60 +31,36 @@ def frame(spark, rows):
     return spark.createDataFrame(data, "subject_id bigint, stay_id bigint, chart_date date, rid int")
 
 
-def is_walk(links, nodes):
-    """Whether (here, there) links lead through all nodes once, in order of the day."""
-    day_of = {r: d for d, r in nodes}
-    left = Counter(links)
-    inner = {r for r in day_of if left[(r, r)] > 0}
-    for r in inner:
-        if left[(r, r)] != Counter(r2 for _, r2 in nodes)[r] - 1:
-            return False
-        left[(r, r)] = 0
-    onward = {a: b for (a, b), n in left.items() if n}
-    if sum(left.values()) != len(onward) or set(onward) != set(day_of):
-        return False
-    here = next(iter(set(day_of) - set(onward.values())))
-    order = []
+def walk(mine):
+    """The rows of one stay in the order that ``next`` gives them."""
+    onward = {r.rid: r.next for r in mine}
+    first = set(onward) - set(onward.values())
+    assert len(first) == 1 and len(onward) == len(mine)
+    order, here = [], first.pop()
     while here is not None:
         order.append(here)
         here = onward[here]
-    days = [-1 if day_of[r] is None else day_of[r] for r in order]
-    return len(order) == len(day_of) and days == sorted(days)
+    return order
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("rows_per_task", [1, 5, 1000])
 def test_neighbours_form_one_walk_through_each_stay(spark, seed, rows_per_task):
-    rows = list({(s, t, r): (s, t, d, r) for s, t, d, r in stays(seed)}.values())
-    copies = Counter((s, t, d, r) for s, t, d, r in stays(seed))
-    rows = [row for row in rows for _ in range(copies[row])]
+    rows = stays(seed)
     got = over_stays(frame(spark, rows), ahead_and_back, rows_per_task=rows_per_task).collect()
-    assert Counter((r.subject_id, r.stay_id, r.rid) for r in got) == Counter(
-        (s, t, r) for s, t, _, r in rows
-    )
-    nodes = defaultdict(list)
-    for s, t, d, r in rows:
-        nodes[s, t].append((d, r))
-    for stay, there in nodes.items():
+    assert sorted((r.rid for r in got)) == list(range(len(rows)))
+    day_of = {rid: -1 if d is None else d for _, _, d, rid in rows}
+    for stay in {row[:2] for row in rows}:
         mine = [r for r in got if (r.subject_id, r.stay_id) == stay]
-        assert is_walk([(r.rid, r.next) for r in mine], there)
-        back = Counter((r.prev, r.rid) for r in mine if r.prev is not None)
-        assert back == Counter((r.rid, r.next) for r in mine if r.next is not None)
-        order = [None, None, *_walk(mine), None, None]
-        expected = Counter(zip(order[2:-2], order[4:], order[:-4]))
-        assert Counter((r.rid, r.next2, r.prev2) for r in mine) == expected
-
-
-def _walk(mine):
-    """The stay's rows in the order that ``next`` gives, copies included."""
-    times = Counter(r.rid for r in mine)
-    onward = {r.rid: r.next for r in mine if r.next != r.rid}
-    here = next(iter(set(times) - {n for n in onward.values() if n is not None}))
-    order = []
-    while here is not None:
-        order += [here] * times[here]
-        here = onward[here]
-    return order
+        order = walk(mine)
+        assert sorted(order) == [rid for s, t, _, rid in rows if (s, t) == stay]
+        assert [day_of[rid] for rid in order] == sorted(day_of[rid] for rid in order)
+        places = [None, None, *order, None, None]
+        expected = {
+            here: places[i + 3 : i + 5] + places[i + 1 : i - 1 if i else None : -1]
+            for i, here in enumerate(order)
+        }
+        assert {r.rid: [r.next, r.next2, r.prev, r.prev2] for r in mine} == expected
 
 
 def test_unique_days_agree_with_the_window(spark):
@@ -98,9 +74,8 @@ def test_unique_days_agree_with_the_window(spark):
         )
 
 
-def test_many_copies_are_spread_and_kept(spark, monkeypatch):
-    monkeypatch.setattr(series, "COPIES_PER_BLOCK", 1000)
-    rows = frame(spark, [(1, 1, 0, 1), (1, 1, 1, 2), (2, 1, 0, 3)])
+def test_many_copies_are_spread_and_kept(spark):
+    rows = frame(spark, [(1, 1, 0, 1), (1, 1, 9, 2), (2, 1, 0, 3)])
     many = rows.unionByName(
         spark.range(50_000).selectExpr(
             "1L AS subject_id", "1L AS stay_id", "date'2024-01-02' AS chart_date", "7 AS rid"
@@ -110,16 +85,14 @@ def test_many_copies_are_spread_and_kept(spark, monkeypatch):
         many, lambda r, neighbour: neighbour(r, {"next": ("rid", 1)}), rows_per_task=100
     )
     links = Counter((r.rid, r.next) for r in got.collect())
-    assert links[(7, 7)] == 49_999
-    assert sum(links.values()) == 50_003
-    first_of_day = next(n for (r, n) in links if r == 1)
-    assert first_of_day in (2, 7) and links[(3, None)] == 1
-    sizes = got.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
-    assert max(sizes) < 30_000
+    assert links == {(1, 7): 1, (7, 7): 49_999, (7, 2): 1, (2, None): 1, (3, None): 1}
+    sliced = series._slice_days(many.withColumn("_slices", F.lit(2000)))
+    largest = sliced.groupBy("subject_id", "stay_id", "chart_date", "_slice").count()
+    assert largest.agg({"count": "max"}).first()[0] < 100
 
 
 def test_list_of_big_stays_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(series, "MAX_BIG_STAYS", 4)
     days = frame(spark, [(i, 1, d, 0) for i in range(40) for d in range(2 if i else 30)])
     big = series._big_stays(days, rows_per_task=1).collect()
-    assert big == [(0, 1)]  # 108 rows: only a stay above 27 of them counts as big
+    assert big == [(0, 1, 120)]  # 108 rows: only a stay above 27 of them counts as big
