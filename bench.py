@@ -25,10 +25,10 @@ HEADLINE = [
     "sic_to_dic_isth",
     "jaam_dic_labels",
     "sic_to_dic_jaam",
-    "sic_to_dic_jaam_big_stays",
     "dic_labels_both",
     "lag_delta",
     "cohort",
+    "label_tables",
     "label_yield",
     "missingness",
     "auroc",

@@ -241,6 +241,12 @@ SELECT '{name}' AS criterion, count(*) AS n_days, count({today}) AS n_scored,
 FROM jaam_labels"""
 
 
+def _table_row(name: str, source: str, onset: str, where: str = "") -> str:
+    return f"""
+SELECT '{name}' AS table_name, count(*) AS n_rows, count(*) FILTER ({onset} = 1) AS n_onsets
+FROM {source} {where}"""
+
+
 _MEASURED = (
     "platelet_avg inr_avg average_sofa_score mean_heart_rate mean_resp_rate "
     "max_temperature wbc_avg pt_avg fibrinogen_avg d_dimer_avg"
@@ -315,6 +321,27 @@ FROM jaam_day""",
     "sic_to_dic_jaam": _TO_DIC_JAAM,
     "sic_to_dic_jaam_big_stays": _TO_DIC_JAAM,
     "dic_labels_both": f"{_with(*_TO_BOTH)} SELECT * FROM jaam_labels",
+    "label_tables": _with(*_TO_BOTH)
+    + " UNION ALL ".join(
+        (
+            _table_row("sic_labels", "sic_kept", "sic_next_day"),
+            _table_row("days_with_sic", "sic_kept", "sic_next_day"),
+            _table_row("isth_labels", "isth_labels", "dic_next_day"),
+            _table_row(
+                "sic_to_dic_isth",
+                "isth_labels",
+                "dic_next_day",
+                "WHERE sic_today = 1 AND dic_next_day IS NOT NULL",
+            ),
+            _table_row("jaam_labels", "jaam_labels", "jaam_dic_progression"),
+            _table_row(
+                "sic_to_dic_jaam",
+                "jaam_labels",
+                "jaam_dic_progression",
+                "WHERE sic_today = 1 AND jaam_dic_progression IS NOT NULL",
+            ),
+        )
+    ),
     "key_check": f"""{_with(_PATIENT_DAY)},
 per_key AS (
   SELECT subject_id IS NULL OR stay_id IS NULL OR chart_date IS NULL AS incomplete, count(*) AS n

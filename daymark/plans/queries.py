@@ -9,17 +9,22 @@ make no use of that: they count, and send every stay of more than
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.functions.criteria import ISTH, JAAM, SIC, sirs
-from daymark.functions.keys import DAY, KEYS, STAY
+from daymark.functions.keys import KEYS
 from daymark.functions.scoring import score_days
 from daymark.operators import evaluate, features, labels, models, reports
 from daymark.operators.checks import key_report
+from daymark.plans.tables import LabelTables, build_label_tables
+from daymark.session import shared_folder
 from daymark.sources.events import measurements, read_events, read_patient_days
+from daymark.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +170,31 @@ def dic_labels_both(spark, folder):
     return labels.label_progression(read_patient_days(spark, folder), ISTH, JAAM, unique_days=True)
 
 
+def label_tables(spark, folder):
+    """All six stored tables, from patient-days stored before; rows and onsets of each."""
+    place = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    write_table(read_patient_days(spark, folder), f"{place}/patient_days")
+    tables = LabelTables.under(place)
+    build_label_tables(spark, f"{place}/patient_days", tables, unique_days=True)
+    onsets = {
+        "sic_labels": SIC,
+        "days_with_sic": SIC,
+        "isth_labels": ISTH,
+        "sic_to_dic_isth": ISTH,
+        "jaam_labels": JAAM,
+        "sic_to_dic_jaam": JAAM,
+    }
+    counts = [
+        read_table(spark, getattr(tables, name)).agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(F.when(F.col(criterion.onset) == 1, 1)).alias("n_onsets"),
+        )
+        for name, criterion in onsets.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- Checks and reports ------------------------------------------------------
 
 
@@ -283,9 +313,7 @@ def model_evaluation(spark, folder):
             predicted.append(
                 scored.select(F.lit(task).alias("task"), F.lit(name).alias("model"), "label", "score")
             )
-    together = predicted[0]
-    for other in predicted[1:]:
-        together = together.union(other)
+    together = reduce(DataFrame.unionByName, predicted)
     return evaluate.summary(together, threshold=0.2, groups=["task", "model"])
 
 
@@ -322,6 +350,7 @@ QUERIES: dict[str, Query] = {
         sic_to_dic_jaam,
         sic_to_dic_jaam_big_stays,
         dic_labels_both,
+        label_tables,
         key_check,
         label_yield,
         criteria_crosstab,

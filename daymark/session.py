@@ -29,18 +29,24 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` from reliable storage, so that a lost executor costs a read, not a rerun.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this session that all executors reach, for tables and checkpoints.
 
-    Uses the folder named by ``spark.checkpoint.dir``. A local session without
-    one gets a temporary folder; a cluster without one is an error.
+    It lies in the folder named by ``spark.checkpoint.dir``. A local session
+    without one gets a temporary folder; a cluster without one is an error.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
+        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
             "spark.checkpoint.dir", None
         )
         if folder is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="daymark-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` from reliable storage, so that a lost executor costs a read, not a rerun."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
