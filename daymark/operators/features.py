@@ -71,8 +71,8 @@ def with_trends(
     return over_stays(days, step, **over)
 
 
-def adults(days: DataFrame, age: str = "age", at_least: int = 18) -> DataFrame:
-    return days.filter(F.col(age) >= at_least)
+def adults(patients: DataFrame, age: str = "age", at_least: int = 18) -> DataFrame:
+    return patients.filter(F.col(age) >= at_least)
 
 
 def with_infection(days: DataFrame, infections: DataFrame, keys: Sequence[str] = ("subject_id",)):
@@ -80,6 +80,17 @@ def with_infection(days: DataFrame, infections: DataFrame, keys: Sequence[str] =
     return days.join(infections.select(*keys).distinct(), list(keys), "left_semi")
 
 
+def cohort(
+    days: DataFrame, patients: DataFrame, infections: DataFrame, at_least: int = 18
+) -> DataFrame:
+    """Days of adult patients with a suspected infection, with the columns of ``patients``.
+
+    Patients are narrowed down first, so that the days are joined once.
+    """
+    wanted = with_infection(adults(patients, at_least=at_least), infections)
+    return days.join(wanted, "subject_id")
+
+
 def split_bucket(subject: str = "subject_id", buckets: int = 100) -> Column:
     """A bucket from the subject id alone, the same on every engine and every run."""
     head = F.substring(F.md5(F.col(subject).cast("string").cast("binary")), 1, 8)

@@ -79,7 +79,7 @@ def neighbour_in_slices(days: DataFrame, columns: Mapping[str, tuple[str, int]])
     """``neighbour_in_window`` for the sliced rows of very large stays.
 
     Rows far ahead are reached one hop at a time. A hop reads its rows twice,
-    so they are checkpointed in between.
+    so they are checkpointed before it; the first time this fixes their ids.
     """
     for ahead in (True, False):
         wanted = {new: at for new, at in columns.items() if (at[1] > 0) == ahead}
@@ -109,8 +109,8 @@ def _big_stays(days: DataFrame, rows_per_task: int) -> DataFrame:
 
 
 def _slice_days(days: DataFrame) -> DataFrame:
-    """Give each row an id and a slice, and fix them in reliable storage."""
-    return cut_lineage(
+    """Give each row an id and a slice of its day."""
+    return (
         days.withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_slice", F.pmod(F.xxhash64("_row"), F.col("_slices")))
         .drop("_slices")

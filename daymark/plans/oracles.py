@@ -280,11 +280,15 @@ SELECT subject_id,
 FROM long GROUP BY subject_id, chart_date""",
     "lag_delta": _LAG_DELTA,
     "lag_delta_big_stays": _LAG_DELTA,
-    "cohort": f"""{_with(_PATIENT_DAY)}
-SELECT subject_id, stay_id, chart_date, 10 + subject_id % 60 AS age,
-       platelet_avg, inr_avg, average_sofa_score
-FROM patient_day
-WHERE 10 + subject_id % 60 >= 18
+    "cohort": f"""{_with(_PATIENT_DAY)},
+numbered AS (
+  SELECT user_id, TRY_CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS age,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n
+  FROM events
+)
+SELECT subject_id, stay_id, chart_date, age, platelet_avg, inr_avg, average_sofa_score
+FROM patient_day JOIN numbered ON user_id = subject_id
+WHERE n = 1 AND age >= 18
   AND subject_id IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 100)""",
     "patient_split": f"""{_with(_PATIENT_DAY)},
 bucketed AS (

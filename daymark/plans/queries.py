@@ -23,7 +23,7 @@ from daymark.operators import evaluate, features, labels, models, reports
 from daymark.operators.checks import key_report
 from daymark.plans.tables import LabelTables, build_label_tables
 from daymark.session import shared_folder
-from daymark.sources.events import measurements, read_events, read_patient_days
+from daymark.sources.events import measurements, patients, read_events, read_patient_days
 from daymark.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,14 +87,11 @@ def lag_delta_big_stays(spark, folder):
 
 
 def cohort(spark, folder):
-    days = read_patient_days(spark, folder).withColumn("age", 10 + F.col("subject_id") % 60)
-    infections = read_events(spark, folder).filter(
-        (F.col("event_type") == "error") & (F.col("value") > 100)
-    )
-    infected = infections.select(F.col("user_id").alias("subject_id"))
-    return features.with_infection(features.adults(days), infected).select(
-        *KEYS, "age", "platelet_avg", "inr_avg", "average_sofa_score"
-    )
+    events = read_events(spark, folder)
+    suspected = events.filter((F.col("event_type") == "error") & (F.col("value") > 100))
+    infections = suspected.select(F.col("user_id").alias("subject_id"))
+    chosen = features.cohort(read_patient_days(spark, folder), patients(events), infections)
+    return chosen.select(*KEYS, "age", "platelet_avg", "inr_avg", "average_sofa_score")
 
 
 def patient_split(spark, folder):

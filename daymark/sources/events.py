@@ -70,6 +70,14 @@ def patient_days(events: DataFrame) -> DataFrame:
     )
 
 
+def patients(events: DataFrame) -> DataFrame:
+    """One row per subject; the number in the first event stands in for the age."""
+    age = F.regexp_extract("props", "[0-9]+", 0).try_cast("int")
+    return events.groupBy(F.col("user_id").alias("subject_id")).agg(
+        F.min_by(age, "event_id").alias("age")
+    )
+
+
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 

@@ -72,16 +72,16 @@ def test_trends_reject_taken_names(small_days):
 
 
 def test_cohort(spark):
-    days = days_of(
-        spark,
-        [(s, 1, 0, {"age": float(a)}) for s, a in [(1, 17), (2, 18), (3, 80), (4, 30)]],
-        ["age double"],
+    days = days_of(spark, [(s, 1, n, {}) for s in (1, 2, 3, 4, 5) for n in (0, 1)])
+    patients = spark.createDataFrame(
+        [(1, 17), (2, 18), (3, 80), (4, 30), (5, None)], "subject_id bigint, age int"
     )
-    infections = spark.createDataFrame([(2,), (2,), (1,), (None,), (4,)], "subject_id bigint")
-    kept = features.with_infection(features.adults(days), infections)
-    assert sorted(r.subject_id for r in kept.collect()) == [2, 4]
-    assert kept.columns == days.columns
-    assert features.adults(days, at_least=31).count() == 1
+    infections = spark.createDataFrame([(2,), (2,), (1,), (None,), (4,), (5,)], "subject_id bigint")
+    kept = features.cohort(days, patients, infections)
+    assert sorted(r.subject_id for r in kept.collect()) == [2, 2, 4, 4]
+    assert set(kept.columns) == {*days.columns, "age"}
+    assert features.cohort(days, patients, infections, at_least=31).count() == 0
+    assert features.adults(patients).count() == 3
 
 
 def test_split_keeps_subjects_together(spark):
