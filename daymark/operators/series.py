@@ -102,7 +102,7 @@ def _big_stays(days: DataFrame, rows_per_task: int) -> DataFrame:
     equal share of the table.
     """
     sizes = days.groupBy(*STAY).agg(F.count(F.lit(1)).alias("_rows"))
-    share = days.agg((F.count(F.lit(1)) / MAX_BIG_STAYS).alias("_share")).scalar()
+    share = sizes.agg((F.sum("_rows") / MAX_BIG_STAYS).alias("_share")).scalar()
     return sizes.filter(F.col("_rows") > F.greatest(F.lit(rows_per_task), share)).select(
         *STAY, F.ceil(F.col("_rows") * SLICES_PER_TASK / rows_per_task).alias("_slices")
     )

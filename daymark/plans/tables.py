@@ -1,8 +1,8 @@
-"""The six label tables, built in order from one patient-day table."""
+"""The six stored label tables: three jobs, each reading what the one before wrote."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
 
@@ -28,28 +28,25 @@ class LabelTables:
     def under(cls, place: str) -> LabelTables:
         """Tables below a folder ("/data/labels") or a catalog schema ("labels")."""
         sep = "/" if is_path(place) else "."
-        return cls(*[f"{place}{sep}{name}" for name in cls.__dataclass_fields__])
+        return cls(**{f.name: f"{place.rstrip('/')}{sep}{f.name}" for f in fields(cls)})
 
 
-def build_label_tables(
+def build_sic_tables(
     spark: SparkSession,
     source: str,
     target: LabelTables,
     sic: Criterion = SIC,
-    isth: Criterion = ISTH,
-    jaam: Criterion = JAAM,
     buckets: int | None = None,
-    last_mode: str = "overwrite",
     **over,
 ) -> None:
-    """Write all tables, each one from the stored table before it.
+    """From patient-days: the SIC label table, and whole rows merged with it.
 
     With ``buckets`` (catalog tables only) the merged table is stored bucketed
-    by stay and sorted by day, so both DIC label tables are built without an
-    exchange; a bucket holds whole stays, hence only with ``unique_days``.
-    ``last_mode="ignore"`` leaves an existing final table as it is.
+    by stay and sorted by day, so the DIC label tables are built from it
+    without an exchange; a bucket holds whole stays, hence only with
+    ``unique_days``.
     """
-    if source.rstrip("/") in {getattr(target, n).rstrip("/") for n in target.__dataclass_fields__}:
+    if source.rstrip("/") in {getattr(target, f.name) for f in fields(target)}:
         raise ValueError(f"{source} would be replaced while it is read")
     days = read_table(spark, source)
     write_table(sic_labels(days, sic, **over), target.sic_labels, sort_by=["stay_id", DAY])
@@ -63,11 +60,43 @@ def build_label_tables(
         days = days.repartition(buckets, *STAY)
     write_table(merge_in_one_pass(days, sic, **over), target.days_with_sic, **layout)
 
-    merged = read_table(spark, target.days_with_sic)
-    for criterion, labels, progression, mode in (
-        (isth, target.isth_labels, target.sic_to_dic_isth, "overwrite"),
-        (jaam, target.jaam_labels, target.sic_to_dic_jaam, last_mode),
-    ):
-        write_table(label_days(merged, criterion, **over), labels)
-        labelled = read_table(spark, labels)
-        write_table(on_sic_days(labelled, criterion, sic), progression, mode=mode)
+
+def build_progression_tables(
+    spark: SparkSession,
+    merged: str,
+    criterion: Criterion,
+    labels: str,
+    progression: str,
+    sic: Criterion = SIC,
+    mode: str = "overwrite",
+    **over,
+) -> None:
+    """From the merged table: all days with DIC labels, and the days with SIC among them.
+
+    ``mode="ignore"`` leaves an existing ``progression`` table as it is.
+    """
+    write_table(label_days(read_table(spark, merged), criterion, **over), labels)
+    chosen = on_sic_days(read_table(spark, labels), criterion, sic)
+    write_table(chosen, progression, mode=mode)
+
+
+def build_label_tables(
+    spark: SparkSession,
+    source: str,
+    target: LabelTables,
+    sic: Criterion = SIC,
+    isth: Criterion = ISTH,
+    jaam: Criterion = JAAM,
+    buckets: int | None = None,
+    last_mode: str = "overwrite",
+    **over,
+) -> None:
+    """All three jobs; ``last_mode`` is for the last table, the JAAM progression set."""
+    build_sic_tables(spark, source, target, sic, buckets, **over)
+    merged = target.days_with_sic
+    build_progression_tables(
+        spark, merged, isth, target.isth_labels, target.sic_to_dic_isth, sic, **over
+    )
+    build_progression_tables(
+        spark, merged, jaam, target.jaam_labels, target.sic_to_dic_jaam, sic, last_mode, **over
+    )

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from daymark.__main__ import main
 from daymark.functions.criteria import ISTH, JAAM
 from daymark.operators import labels
 from daymark.plans.tables import LabelTables, build_label_tables
@@ -76,3 +77,14 @@ def test_a_table_is_not_replaced_while_it_is_read(spark, small_days, tmp_path):
     write_table(small_days, "own_days")
     with pytest.raises(AnalysisException):
         write_table(read_table(spark, "own_days"), "own_days")
+
+
+def test_command_line(spark, small_days, tmp_path):
+    source, target = str(tmp_path / "days"), str(tmp_path / "labels")
+    write_table(small_days, source)
+    main([source, target + "/", "--unique-days", "--white-cell-unit", "1000"])
+    tables = LabelTables.under(target)
+    assert sizes(spark, tables)["isth_labels"] == 296
+    counts = read_table(spark, tables.jaam_labels).agg({"sirs_wbc": "sum"}).first()[0]
+    default = labels.label_progression(small_days, JAAM, unique_days=True)
+    assert counts != default.agg({"sirs_wbc": "sum"}).first()[0]
