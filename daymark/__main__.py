@@ -1,4 +1,4 @@
-"""Build the label tables: ``spark-submit daymark/__main__.py SOURCE TARGET [options]``.
+"""Build the label tables: ``python -m daymark SOURCE TARGET [options]``.
 
 SOURCE is a patient-day table, TARGET a folder or a catalog schema for the six
 label tables; either may be a path (with a slash) or a catalog name.
