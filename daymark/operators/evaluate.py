@@ -2,8 +2,8 @@
 
 Ranking metrics need the number of positives above every distinct score. Rows
 are first counted per distinct score; the running totals are then built on
-three levels of score digits, so that no window ever holds more than
-``LEVEL`` rows, however the scores are distributed.
+three levels of score digits, so that no window of a group ever holds more
+than ``LEVEL + 1`` rows, however the scores are distributed.
 """
 
 from __future__ import annotations
@@ -118,7 +118,9 @@ def auroc_columns() -> list[Column]:
     return [
         positives.alias("n_pos"),
         negatives.alias("n_neg"),
-        F.try_divide((pairs + wins - losses).cast("double"), 2 * pairs.cast("double")).alias("auroc"),
+        F.try_divide((pairs + wins - losses).cast("double"), 2 * pairs.cast("double")).alias(
+            "auroc"
+        ),
     ]
 
 

@@ -308,7 +308,9 @@ def model_evaluation(spark, folder):
         for name, fit in (("logistic", _logistic), ("trees", _trees)):
             scored = models.predict(fit(train), test)
             predicted.append(
-                scored.select(F.lit(task).alias("task"), F.lit(name).alias("model"), "label", "score")
+                scored.select(
+                    F.lit(task).alias("task"), F.lit(name).alias("model"), "label", "score"
+                )
             )
     together = reduce(DataFrame.unionByName, predicted)
     return evaluate.summary(together, threshold=0.2, groups=["task", "model"])

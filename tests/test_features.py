@@ -18,9 +18,8 @@ def test_daily_values(spark):
         (1, 1, datetime(2024, 1, 2, 0, 0), "hr", 70.0),
         (1, 1, datetime(2024, 1, 2, 1, 0), "temp", None),
     ]
-    long = spark.createDataFrame(
-        rows, "subject_id bigint, stay_id bigint, charttime timestamp_ntz, item string, value double"
-    )
+    keys = "subject_id bigint, stay_id bigint, charttime timestamp_ntz"
+    long = spark.createDataFrame(rows, f"{keys}, item string, value double")
     daily = features.daily_values(
         long,
         [

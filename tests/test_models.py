@@ -40,8 +40,8 @@ def test_models_learn_and_rank(rows, fit):
 def test_importance(spark, rows):
     features = ["told", "noise"]
     trees = models.fit_boosted_trees(rows, features, maxIter=3)
-    weight = {r.feature: r.importance for r in models.tree_importance(trees, features, spark).collect()}
-    assert weight["told"] > 0.8
+    weights = models.tree_importance(trees, features, spark).collect()
+    assert {r.feature: r.importance for r in weights}["told"] > 0.8
     loss = {
         r.feature: r.auroc_loss
         for r in models.permutation_importance(trees, rows, features).collect()
@@ -52,9 +52,14 @@ def test_importance(spark, rows):
 def test_permutation_is_whole_in_each_block(spark, rows, monkeypatch):
     monkeypatch.setattr(models, "ROWS_PER_SHUFFLE_BLOCK", 50)
     seen = []
-    monkeypatch.setattr(models, "auroc", lambda scored, groups: seen.append(scored) or evaluate.auroc(scored, groups=groups))
-    trees = models.fit_logistic(rows, ["told", "noise"])
-    models.permutation_importance(trees, rows, ["told", "noise"]).collect()
+
+    def watched(scored, groups):
+        seen.append(scored)
+        return evaluate.auroc(scored, groups=groups)
+
+    monkeypatch.setattr(models, "auroc", watched)
+    model = models.fit_logistic(rows, ["told", "noise"])
+    models.permutation_importance(model, rows, ["told", "noise"]).collect()
     assert seen[0].groupBy("feature").count().select("count").distinct().collect() == [(583,)]
 
 

@@ -28,7 +28,8 @@ def stays(seed):
 
 def frame(spark, rows):
     data = [(s, t, None if d is None else START + timedelta(days=d), r) for s, t, d, r in rows]
-    return spark.createDataFrame(data, "subject_id bigint, stay_id bigint, chart_date date, rid int")
+    schema = "subject_id bigint, stay_id bigint, chart_date date, rid int"
+    return spark.createDataFrame(data, schema)
 
 
 def walk(mine):
