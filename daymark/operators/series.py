@@ -36,7 +36,10 @@ Step = Callable[[DataFrame, Neighbour], DataFrame]
 ROWS_PER_TASK = 1_000_000  # a stay up to this size is sorted by one task
 MAX_BIG_STAYS = 100_000  # bounds the broadcast list of larger stays
 SLICES_PER_TASK = 4
-SLICED_DAY = [*STAY, DAY, "_slice"]
+
+# Keys of a sliced row. As structs they are never NULL, so that plain equality
+# also finds rows with a NULL id or day, and joins and windows share exchanges.
+SLICED_DAY = ["_stay", "_day", "_slice"]
 
 
 def neighbour_in_window(days: DataFrame, columns: Mapping[str, tuple[str, int]]) -> DataFrame:
@@ -71,7 +74,7 @@ def over_stays(
     usual = match(days, F.broadcast(big), STAY, "left_anti")
     large = match(days, F.broadcast(big), STAY, "inner")
     return step(usual, neighbour_in_window).unionByName(
-        step(_slice_days(large), neighbour_in_slices).drop("_row", "_slice")
+        step(_slice_days(large), neighbour_in_slices).drop(*SLICED_DAY, "_row")
     )
 
 
@@ -110,8 +113,9 @@ def _big_stays(days: DataFrame, rows_per_task: int) -> DataFrame:
 
 def _slice_days(days: DataFrame) -> DataFrame:
     """Give each row an id and a slice of its day."""
+    keys = {"_stay": F.struct(*STAY), "_day": F.struct(DAY), "_row": F.monotonically_increasing_id()}
     return (
-        days.withColumn("_row", F.monotonically_increasing_id())
+        days.withColumns(keys)
         .withColumn("_slice", F.pmod(F.xxhash64("_row"), F.col("_slices")))
         .drop("_slices")
     )
@@ -124,20 +128,24 @@ def _one_row_away(days: DataFrame, columns: list[str], ahead: bool) -> DataFrame
 
     # The row of a slice, and of a day, that its neighbour gets to see.
     slices = days.groupBy(*SLICED_DAY).agg(nearest(F.struct("_row", "_here")).alias("_edge"))
-    per_day = slices.groupBy(*STAY, DAY).agg(nearest(F.struct("_slice", "_edge")).alias("_edge"))
+    per_day = slices.groupBy("_stay", "_day").agg(
+        nearest(F.struct("_slice", "_edge")).alias("_edge")
+    )
 
-    by_day = Window.partitionBy(*STAY).orderBy(DAY)
-    by_slice = Window.partitionBy(*STAY, DAY).orderBy("_slice")
+    by_day = Window.partitionBy("_stay").orderBy("_day")
+    by_slice = Window.partitionBy("_stay", "_day").orderBy("_slice")
     by_row = Window.partitionBy(*SLICED_DAY).orderBy("_row")
 
-    next_day = per_day.select(*STAY, DAY, look("_edge._edge._here").over(by_day).alias("_next_day"))
-    beyond = match(
-        slices.withColumn("_next_slice", look("_edge._here").over(by_slice)), next_day, [*STAY, DAY]
-    ).select(*SLICED_DAY, F.coalesce("_next_slice", "_next_day").alias("_beyond"))
-
-    days = days.withColumn("_near", look("_here").over(by_row))
-    days = match(days, beyond, SLICED_DAY, never_null=["_slice"])
-    days = days.withColumn("_seen", F.coalesce("_near", "_beyond"))
-    return days.withColumns({c: F.col(f"_seen.{c}") for c in columns}).drop(
-        "_here", "_near", "_beyond", "_seen"
+    next_day = per_day.select(
+        "_stay", "_day", look("_edge._edge._here").over(by_day).alias("_next_day")
+    )
+    beyond = (
+        slices.withColumn("_next_slice", look("_edge._here").over(by_slice))
+        .join(next_day, ["_stay", "_day"])
+        .select(*SLICED_DAY, F.coalesce("_next_slice", "_next_day").alias("_beyond"))
+    )
+    days = days.withColumn("_near", look("_here").over(by_row)).join(beyond, SLICED_DAY)
+    days = days.withColumn("_found", F.coalesce("_near", "_beyond"))
+    return days.withColumns({c: F.col(f"_found.{c}") for c in columns}).drop(
+        "_here", "_near", "_beyond", "_found"
     )

@@ -156,8 +156,8 @@ _TO_BOTH = (*_TO_ISTH, _jaam_day("isth_labels"), _JAAM_LABELS)
 _TO_SCORED = (*_TO_SIC, _SCORED)
 
 _SIC_LABEL_TABLE = f"""{_with(*_TO_SIC)}
-SELECT subject_id, stay_id, chart_date, platelet_avg, inr_avg, average_sofa_score,
-       platelet_score, inr_score, sofa_indicator, sic_today, sic_tomorrow, sic_next_day
+SELECT * EXCLUDE (mean_heart_rate, mean_resp_rate, max_temperature, wbc_avg,
+                  pt_avg, fibrinogen_avg, d_dimer_avg)
 FROM sic_kept"""
 
 _MERGED = f"{_with(*_TO_SIC)} SELECT * FROM sic_kept"

@@ -18,10 +18,11 @@ def duck():
 def skewed(spark, tmp_path_factory):
     """Events of which a third belong to one user, most of them copies of one event."""
     events = read_events(spark, SMALL)
-    spread = events.crossJoin(spark.range(40).withColumnRenamed("id", "k"))
+    spread = events.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(39))))
     spread = spread.withColumn("user_id", F.col("user_id") + 1000 * F.col("k")).drop("k")
     hot = events.withColumn("user_id", F.lit(7).cast("long"))
-    copies = hot.filter("event_id = 3").crossJoin(spark.range(19_000)).drop("id")
+    copies = hot.filter("event_id = 3")
+    copies = copies.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(19_000)))).drop("k")
     folder = tmp_path_factory.mktemp("skewed")
     spread.unionByName(hot).unionByName(copies).write.parquet(f"{folder}/events.parquet")
     return str(folder)

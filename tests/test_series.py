@@ -88,7 +88,7 @@ def test_many_copies_are_spread_and_kept(spark):
     links = Counter((r.rid, r.next) for r in got.collect())
     assert links == {(1, 7): 1, (7, 7): 49_999, (7, 2): 1, (2, None): 1, (3, None): 1}
     sliced = series._slice_days(many.withColumn("_slices", F.lit(2000)))
-    largest = sliced.groupBy("subject_id", "stay_id", "chart_date", "_slice").count()
+    largest = sliced.groupBy("_stay", "_day", "_slice").count()
     assert largest.agg({"count": "max"}).first()[0] < 100
 
 
