@@ -47,6 +47,13 @@ def _with_totals_above(counts: DataFrame, within: Sequence[str], digit: str) ->
     )
 
 
+def _last_totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals per key; running totals only grow, so the largest one is the total."""
+    return counts.groupBy(*keys).agg(
+        *[F.max(F.col(n) + F.col(f"_{n}_above")).alias(n) for n in ("n_pos", "n_neg")]
+    )
+
+
 def _with_carry(counts: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     names = ("_n_pos_above", "_n_neg_above")
     carry = carry.select(*keys, *[F.col(n).alias(f"{n}_carry") for n in names])
@@ -82,15 +89,15 @@ def ranking_curve(
             }
         )
     )
-    sums = [F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg")]
-    per_middle = per_score.groupBy(*groups, "_top", "_middle").agg(*sums)
-    per_top = per_middle.groupBy(*groups, "_top").agg(*sums)
-
-    top = _with_totals_above(per_top, groups, "_top")
-    middle = _with_totals_above(per_middle, [*groups, "_top"], "_middle")
-    middle = _with_carry(middle, top, [*groups, "_top"])
-    curve = _with_totals_above(per_score, [*groups, "_middle"], "_key")
-    curve = _with_carry(curve, middle, [*groups, "_middle"])
+    # Each level is counted from the running totals of the finer one, which has
+    # just been brought together by that level's digits: no exchange of its own.
+    by_score = _with_totals_above(per_score, [*groups, "_middle"], "_key")
+    per_middle = _last_totals(by_score, [*groups, "_top", "_middle"])
+    by_middle = _with_totals_above(per_middle, [*groups, "_top"], "_middle")
+    by_top = _with_totals_above(_last_totals(by_middle, [*groups, "_top"]), groups, "_top")
+
+    by_middle = _with_carry(by_middle, by_top, [*groups, "_top"])
+    curve = _with_carry(by_score, by_middle, [*groups, "_middle"])
     return curve.select(
         *groups,
         (F.col("_key") / F.lit(float(SCALE))).alias("score"),
