@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Joins on all three keys may reuse the exchange of the window on two of them.
@@ -35,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     """A folder of this session that all executors reach, for tables and checkpoints.
 
     It lies in the folder named by ``spark.checkpoint.dir``. A local session
-    without one gets a temporary folder; a cluster without one is an error.
+    without one uses its warehouse; a cluster without one is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -44,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
         )
         if folder is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="daymark-"))
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return context.getCheckpointDir()
 
 
