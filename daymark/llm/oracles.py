@@ -31,6 +31,42 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.low, d.doc_id) AS co
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN lowest l USING (doc_id)
 """
 
+# A word is hit if one of the windows that hold it is a window of an item.
+DECONTAMINATE = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+item_words AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS k, unnest(list_transform(
+        range(1, len(w) - least(len(w), 13) + 2),
+        lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS s
+    FROM item_words WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT k FROM item_windows),
+doc_windows AS (
+    SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i,
+        unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+    FROM doc_words, sizes),
+hits AS (SELECT doc_id, item_id, i, k FROM doc_windows JOIN item_windows USING (k, s)),
+hit_words AS (
+    SELECT doc_id, count(DISTINCT p) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+    sha256(coalesce(t.listed, '')) AS items_sha256,
+    coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items t USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
+    "op7_decontaminate": DECONTAMINATE,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
 from daymark.llm.near_dedup import near_duplicates
 
 
@@ -18,6 +19,21 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), words=4)
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_benchmark(docs, table(spark, folder, "benchmark"))
+    listed = F.array_join(F.array_sort(F.transform("found.items", lambda x: x.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        F.col("found.n_words").alias("n_words"),
+        hit_words().alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op7_decontaminate": op7_decontaminate,
 }
