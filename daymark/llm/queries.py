@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
 from daymark.llm.near_dedup import near_duplicates
+from daymark.llm.packing import cut_documents, pack
+from daymark.llm.planes import read_ids, segment_starts, write_ids
+from daymark.llm.storage import shared_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +23,33 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), words=4)
 
 
+def tokenizer(name: str) -> str:
+    """The path of a public tokenizer's file, on the driver and on every executor."""
+    return importlib.import_module("public_tokenizers").path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = cut_documents(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op6_id_planes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    target = shared_path(docs, "ids")
+    write_ids(docs, target, tokenizer("byte_bpe_50k.json"))
+    found = read_ids(spark, target).select(
+        "shard",
+        "segment",
+        "doc_id",
+        "place",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+    return found.join(segment_starts(spark, target), ["shard", "segment"]).select(
+        "doc_id", (F.col("segment_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = find_benchmark(docs, table(spark, folder, "benchmark"))
@@ -35,5 +66,7 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op6_id_planes": op6_id_planes,
     "op7_decontaminate": op7_decontaminate,
 }
