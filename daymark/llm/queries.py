@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
 from daymark.llm.near_dedup import near_duplicates
+from daymark.llm.neighbours import nearest
 from daymark.llm.packing import cut_documents, pack
 from daymark.llm.planes import read_ids, segment_starts, write_ids
 from daymark.llm.storage import shared_path
@@ -33,6 +34,11 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op3_projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op6_id_planes(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     target = shared_path(docs, "ids")
@@ -67,6 +73,7 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_projected_neighbours": op3_projected_neighbours,
     "op6_id_planes": op6_id_planes,
     "op7_decontaminate": op7_decontaminate,
 }
