@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm.backoff_lm import score_texts
 from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
 from daymark.llm.near_dedup import near_duplicates
 from daymark.llm.neighbours import nearest
@@ -39,6 +40,15 @@ def op3_projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
+def bucket_of_id(buckets: int) -> F.Column:
+    """The remainder of the crc32 of an id as text, which splits rows to learn from and rows to test on."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % buckets
+
+
+def op4_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"), bucket_of_id(7) == 2)
+
+
 def op6_id_planes(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     target = shared_path(docs, "ids")
@@ -74,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_projected_neighbours": op3_projected_neighbours,
+    "op4_backoff_lm": op4_backoff_lm,
     "op6_id_planes": op6_id_planes,
     "op7_decontaminate": op7_decontaminate,
 }
