@@ -14,6 +14,7 @@ from daymark.llm.near_dedup import near_duplicates
 from daymark.llm.neighbours import nearest
 from daymark.llm.packing import cut_documents, pack
 from daymark.llm.planes import read_ids, segment_starts, write_ids
+from daymark.llm.quality import CUT, train, with_quality
 from daymark.llm.storage import shared_path
 
 
@@ -49,6 +50,15 @@ def op4_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"), bucket_of_id(7) == 2)
 
 
+def op5_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = bucket_of_id(5) == 0
+    model = train(docs, table(spark, folder, "labels"), ~held_out)
+    return with_quality(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")
+    )
+
+
 def op6_id_planes(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     target = shared_path(docs, "ids")
@@ -85,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_projected_neighbours": op3_projected_neighbours,
     "op4_backoff_lm": op4_backoff_lm,
+    "op5_pairwise_quality": op5_pairwise_quality,
     "op6_id_planes": op6_id_planes,
     "op7_decontaminate": op7_decontaminate,
 }
