@@ -82,8 +82,32 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+# Every line against every earlier line of a similar length, without an index.
+LINE_DEDUP = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(range(1, len(l) + 1)) AS line_no, unnest(l) AS line
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
+sets AS (
+    SELECT doc_id, line_no, line, list_sort(list_distinct(list_filter(
+        regexp_split_to_array(lower(line), '[ \t\x0B\f\r]'), lambda x: x <> ''))) AS w
+    FROM lines),
+firsts AS (SELECT w, len(w) AS n, min((doc_id, line_no)) AS at FROM sets WHERE len(w) > 0 GROUP BY w),
+repeated AS (
+    SELECT DISTINCT y.w
+    FROM firsts x JOIN firsts y ON x.at < y.at AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n
+    WHERE 100 * len(list_intersect(x.w, y.w)) >= 80 * (x.n + y.n - len(list_intersect(x.w, y.w)))),
+marked AS (
+    SELECT s.doc_id, s.line_no, s.line, len(s.w) > 0 AND ((s.doc_id, s.line_no) <> f.at OR r.w IS NOT NULL) AS gone
+    FROM sets s LEFT JOIN firsts f ON f.w = s.w LEFT JOIN repeated r ON r.w = s.w)
+SELECT doc_id, count(line)::INTEGER AS n_lines, (count(*) FILTER (WHERE gone))::INTEGER AS n_removed,
+    CASE WHEN any_value(d.text) IS NOT NULL
+        THEN coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone), '') END AS text
+FROM documents d LEFT JOIN marked m USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": NEAR_DEDUP,
     "op3_projected_neighbours": NEIGHBOURS,
     "op7_decontaminate": DECONTAMINATE,
+    "op10_line_dedup": LINE_DEDUP,
 }

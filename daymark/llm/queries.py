@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daymark.llm.backoff_lm import score_texts
 from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
+from daymark.llm.line_dedup import deduplicate_lines
 from daymark.llm.near_dedup import near_duplicates
 from daymark.llm.neighbours import nearest
 from daymark.llm.packing import cut_documents, pack
@@ -90,6 +91,11 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return deduplicate_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -98,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pairwise_quality": op5_pairwise_quality,
     "op6_id_planes": op6_id_planes,
     "op7_decontaminate": op7_decontaminate,
+    "op10_line_dedup": op10_line_dedup,
 }
