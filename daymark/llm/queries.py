@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm import licences
 from daymark.llm.backoff_lm import score_texts
 from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
 from daymark.llm.line_dedup import deduplicate_lines
@@ -91,6 +92,19 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = licences.scan(docs, licences.train(spark)).filter("confirmed")
+    of_doc = found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licences")
+    )
+    return docs.select("doc_id").join(of_doc, "doc_id", "left").select(
+        "doc_id",
+        F.coalesce("n", F.lit(0)).alias("n_licence_paragraphs"),
+        F.coalesce("licences", F.lit("")).alias("licences"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return deduplicate_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
@@ -104,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pairwise_quality": op5_pairwise_quality,
     "op6_id_planes": op6_id_planes,
     "op7_decontaminate": op7_decontaminate,
+    "op9_licence_scan": op9_licence_scan,
     "op10_line_dedup": op10_line_dedup,
 }
