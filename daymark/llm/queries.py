@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import licences
+from daymark.llm import chat, licences
 from daymark.llm.backoff_lm import score_texts
 from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
 from daymark.llm.line_dedup import deduplicate_lines
@@ -92,6 +92,24 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations as raw transcripts: a speaker marker before each turn, but for one turn in four."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    place = F.concat_ws(":", "conv_id", "turn")
+    marked = F.when(
+        (F.crc32(place.cast("binary")) % 4 != 0) & F.col("role").isNotNull(),
+        F.concat(F.initcap("role"), F.lit(": "), F.coalesce("text", F.lit(""))),
+    )
+    return turns.withColumn("text", F.coalesce(marked, "text"))
+
+
+def op8_chat_roles(spark: SparkSession, folder: str) -> DataFrame:
+    raw = transcripts(spark, folder)
+    # The roles of every fifth conversation are not learned from.
+    learned = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 5 != 0
+    return chat.format_chats(raw, chat.train(raw, learned))
+
+
 def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = licences.scan(docs, licences.train(spark)).filter("confirmed")
@@ -118,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pairwise_quality": op5_pairwise_quality,
     "op6_id_planes": op6_id_planes,
     "op7_decontaminate": op7_decontaminate,
+    "op8_chat_roles": op8_chat_roles,
     "op9_licence_scan": op9_licence_scan,
     "op10_line_dedup": op10_line_dedup,
 }
