@@ -1,11 +1,8 @@
-"""Union-find grouping of links, and resolving buckets of candidates against hubs.
-
-No step lists all pairs of a bucket, and nothing but counts reaches the driver.
-"""
+"""Union-find grouping of links, without bringing links or components to the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,7 +12,6 @@ from daymark.llm.storage import stored
 from daymark.llm.tasks import map_batches
 
 LINK = "a long, b long"
-HUBS_GROWTH = 8
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,74 +57,16 @@ def components(links: DataFrame) -> DataFrame:
     """(a, b) links -> (a, b): each linked node but the smallest, with the smallest of its component.
 
     Tasks first contract their own links by union-find; large-star and
-    small-star steps then join the trees of all tasks until nothing moves.
+    small-star steps then join the trees of all tasks until each is a star.
     """
-
-    def state(trees: DataFrame) -> tuple:
-        return tuple(trees.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first())
-
     trees = stored(map_batches(links.select("a", "b"), _contract, LINK).distinct(), "trees")
-    before, now = None, state(trees)
-    while now != before:
+    while not _are_stars(trees):
         trees = stored(_gather_smaller(_attach_to_smallest(trees)), "trees")
-        before, now = now, state(trees)
     return trees
 
 
-def resolve(
-    members: DataFrame,
-    comparable: Callable[[str, str], F.Column],
-    verify: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Component of each node after all candidate pairs of all buckets are settled.
-
-    ``members`` has ``bucket``, ``node`` and what ``comparable`` reads (by the
-    alias of either side). In each round some nodes of a bucket, its hubs, are
-    compared by ``verify`` ((a, b) -> the linked (a, b)) with all nodes of
-    the bucket that are not yet in their component, and then leave the bucket.
-    A bucket is settled when one component is left in it, so a bucket of
-    copies takes one round however large it is. The number of hubs grows with
-    each round, so a bucket of unlike nodes takes a logarithmic number of them.
-    """
-    links = tested = trees = None
-    hubs_per_bucket = 1
-    while True:
-        if trees is None:
-            known = members.withColumn("component", F.col("node"))
-        else:
-            known = members.join(
-                trees.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left"
-            ).withColumn("component", F.coalesce("component", "node"))
-        open_buckets = (
-            known.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low != high")
-            .select("bucket")
-        )
-        members = stored(known.join(open_buckets, "bucket", "left_semi"), "members")
-        if members.isEmpty():
-            break
-        hubs = members.groupBy(
-            "bucket", F.pmod(F.xxhash64("node"), F.lit(hubs_per_bucket)).alias("_salt")
-        ).agg(F.min_by(F.struct(*[c for c in members.columns if c != "bucket"]), "node").alias("h"))
-        hubs = hubs.select("bucket", "h.*")
-        pairs = (
-            hubs.alias("h")
-            .join(members.alias("m"), F.col("h.bucket") == F.col("m.bucket"))
-            .filter("h.component != m.component")
-            .filter(comparable("h", "m"))
-            .select(F.least("h.node", "m.node").alias("a"), F.greatest("h.node", "m.node").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = stored(verify(pairs), "links")
-        links = found if links is None else links.union(found)
-        trees = components(links)
-        members = members.join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti").drop("component")
-        hubs_per_bucket *= HUBS_GROWTH
-    if trees is None:
-        return members.sparkSession.createDataFrame([], LINK)
-    return trees
+def _are_stars(trees: DataFrame) -> bool:
+    """Every node hangs on one root, and no root hangs on another node."""
+    twice = trees.groupBy("a").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("a")
+    roots = trees.select(F.col("b").alias("a")).distinct()
+    return twice.union(trees.select("a").join(roots, "a", "left_semi")).isEmpty()

@@ -9,7 +9,10 @@ shingles takes one or two steps.
 
 Documents with equal sets are one class. Signatures are cut into bands; classes
 that share a band are candidates, which are confirmed on their full sets and
-grouped by union-find (``groups``).
+grouped by union-find (``groups``). No bucket is turned into all its pairs: its
+members are compared with one of them, the hub, the one that meets most others. If that
+leaves more than one group in the bucket, its members go through an exact join
+on their rarest shingles, which near copies with edits of their own do not share.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.groups import resolve
+from daymark.llm.groups import components
 from daymark.llm.storage import stored
 from daymark.llm.tasks import map_batches
 from daymark.llm.text import NOT_SPACE, STEP, find_words, mix, slices, window_hashes
@@ -152,6 +155,83 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return map_batches(rows, _confirm(size, percent), "a long, b long")
 
 
+def star_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of each bucket's hub with its other members of a similar size."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
+    meetings = members.join(sizes, "bucket").groupBy("node").agg(F.sum("_n").alias("_meets"))
+    ranked = members.join(meetings, "node").withColumn("_rank", F.struct(-F.col("_meets"), F.col("node")))
+    hubs = ranked.groupBy("bucket").agg(F.min_by(F.struct("node", "n_shingles"), "_rank").alias("hub"))
+    pairs = members.join(hubs, "bucket").filter("hub.node != node")
+    alike = 100 * F.least("n_shingles", "hub.n_shingles") >= percent * F.greatest("n_shingles", "hub.n_shingles")
+    return pairs.filter(alike).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def unsettled(members: DataFrame, trees: DataFrame) -> DataFrame:
+    """(node, component) of all members of buckets that hold more than one component."""
+    of = trees.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    known = members.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ends = known.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n"))
+    # Two members were compared with each other, whatever came of it.
+    open_buckets = ends.filter("_low != _high AND _n > 2").select("bucket")
+    return known.join(open_buckets, "bucket", "left_semi").select("node", "component").distinct()
+
+
+def _exploded(size: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in slices(batch.column(2)):
+                sets = shingle_sets(batch.column(2)[low:high], size)
+                counts = np.array([len(s) for s in sets], dtype=np.int64)
+                rows = pa.array(np.repeat(np.arange(low, high), counts))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        batch.column(1).take(rows),
+                        pa.array(np.repeat(counts, counts)),
+                        pa.array(np.concatenate(sets).view(np.int64)),
+                    ],
+                    names=["node", "component", "n", "shingle"],
+                )
+
+    return run
+
+
+def rare_pairs(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b) of different components that an exact set-similarity join cannot rule out.
+
+    The shingles of each node are put in the order of how many nodes have them. Nodes that are
+    similar enough share one among their rarest, at a place that leaves room for all the others that they must share.
+    """
+    rows = nodes.join(texts, "node").select("node", "component", "text")
+    rows = stored(
+        map_batches(rows, _exploded(size), "node long, component long, n long, shingle long"), "shingles"
+    )
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df"))
+    ordered = (
+        rows.join(counts, "shingle")
+        .groupBy("node", "component", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("_df", "shingle"))).alias("_all"))
+    )
+    probe = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    prefix = stored(
+        ordered.select("node", "component", "n", F.posexplode(F.slice("_all", F.lit(1), probe)).alias("place", "_s"))
+        .filter("_s._df > 1")
+        .select("node", "component", "n", "place", F.col("_s.shingle").alias("shingle")),
+        "prefix",
+    )
+    both = F.col("x.n") + F.col("y.n")
+    room = 1 + F.least(F.col("x.n") - F.col("x.place") - 1, F.col("y.n") - F.col("y.place") - 1)
+    short = F.col("n") - F.ceil(2 * F.col("n") * percent / (100 + percent))
+    return (
+        prefix.alias("x")
+        .join(prefix.filter(F.col("place") <= short).alias("y"), F.col("x.shingle") == F.col("y.shingle"))
+        .filter("x.component != y.component AND (x.n > y.n OR x.n = y.n AND x.node > y.node)")
+        .filter((100 * F.col("y.n") >= percent * F.col("x.n")) & (room >= F.ceil(both * percent / (100 + percent))))
+        .select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -198,11 +278,13 @@ def near_duplicates(
         "candidates",
     )
 
-    def comparable(left: str, right: str) -> F.Column:
-        small, large = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
-        return (100 * F.least(small, large)) >= (percent * F.greatest(small, large))
-
-    trees = resolve(members, comparable, lambda pairs: confirmed(pairs, texts, words, percent))
+    links = stored(confirmed(star_pairs(members, percent), texts, words, percent), "links")
+    trees = components(links)
+    rest = stored(unsettled(members, trees), "unsettled")
+    if not rest.isEmpty():
+        more = stored(confirmed(rare_pairs(rest, texts, words, percent), texts, words, percent), "links")
+        if not more.isEmpty():
+            trees = components(links.union(more))
     of_class = classes.join(trees, F.col("node") == F.col("a"), "left").select(
         *content, F.coalesce("b", "node").alias("_component")
     )
