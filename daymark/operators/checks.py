@@ -33,17 +33,22 @@ def repeated_keys(days: DataFrame) -> DataFrame:
 
 
 def key_report(days: DataFrame) -> DataFrame:
-    """One row: rows, rows with a NULL key, keys that repeat, rows under such keys."""
+    """One row: rows, rows with a NULL key, keys that repeat, rows under such keys, the most rows of a key.
+
+    A key with NULLs is a key like any other here, so its repeats are counted
+    too: a window over the keys brings them together all the same. Days are
+    unique if no key repeats.
+    """
     per_key = days.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    complete = no_null_keys()
-    repeated = complete & (F.col("n") > 1)
+    repeated = F.col("n") > 1
 
     def total(condition, amount):
         return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0).cast("long"))
 
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("n_rows"),
-        total(~complete, F.col("n")).alias("n_null_key_rows"),
+        total(~no_null_keys(), F.col("n")).alias("n_null_key_rows"),
         total(repeated, F.lit(1).cast("long")).alias("n_repeated_keys"),
         total(repeated, F.col("n")).alias("n_repeated_key_rows"),
+        F.coalesce(F.max("n"), F.lit(0).cast("long")).alias("n_largest_key_rows"),
     )

@@ -2,8 +2,9 @@
 
 Ranking metrics need the number of positives above every distinct score. Rows
 are first counted per distinct score; the running totals are then built on
-three levels of score digits, so that no window of a group ever holds more
-than ``LEVEL + 1`` rows, however the scores are distributed.
+three levels of the score's own bits, so that no window of a group ever holds
+more than ``1 << LEVEL_BITS`` rows, however the scores are distributed. Scores
+are told apart to the last bit, near 0 as well as near 1.
 """
 
 from __future__ import annotations
@@ -15,16 +16,46 @@ from pyspark.sql import functions as F
 
 from daymark.functions.keys import match
 
-LEVEL = 10_000
-SCALE = LEVEL**3  # scores are told apart to twelve decimals
+LEVEL_BITS = 21
+MANTISSA_BITS = 52
+SMALLEST_EXPONENT = -1074
+MEAN_SCALE = 10**12  # digits of a score that go into a mean, so that sums are exact
 
 
-def _score_key(score: str) -> Column:
-    in_range = F.col(score).between(0, 1)
-    key = F.when(in_range, F.round(F.col(score) * F.lit(float(SCALE))).cast("long")).otherwise(
-        F.raise_error(F.lit("a score must be a probability")).cast("long")
+def checked(score: str | Column) -> Column:
+    """The score, or an error if it is no probability (NaN is none)."""
+    score = F.col(score) if isinstance(score, str) else score
+    return F.when(score.between(0, 1) | score.isNull(), score).otherwise(
+        F.raise_error(F.lit("a score must be a probability")).cast("double")
     )
-    return _never_null(key)
+
+
+def _order_key(score: Column) -> Column:
+    """A whole number that orders scores in [0, 1] as they are: exponent, then mantissa.
+
+    Multiplying by powers of two is exact, so different scores get different numbers.
+    """
+    guess = F.floor(F.log2(score)).cast("int")
+    too_high = F.pow(F.lit(2.0), guess) > score
+    too_low = F.pow(F.lit(2.0), guess + 1) <= score
+    exponent = F.greatest(
+        guess - too_high.cast("int") + too_low.cast("int"), F.lit(SMALLEST_EXPONENT)
+    )
+    # Two steps, as the power itself would be beyond the largest number for tiny scores.
+    half = (exponent / 2).cast("int")
+    mantissa = score * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - exponent)
+    above = F.shiftleft((exponent - SMALLEST_EXPONENT + 1).cast("long"), MANTISSA_BITS)
+    key = above + ((mantissa - 1) * F.lit(float(1 << MANTISSA_BITS))).cast("long")
+    return _never_null(F.when(score > 0, key))
+
+
+def _score_of(key: Column) -> Column:
+    """The score that :func:`_order_key` made into a number."""
+    exponent = F.shiftright(key, MANTISSA_BITS) - 1 + SMALLEST_EXPONENT
+    half = (exponent / 2).cast("int")
+    fraction = key.bitwiseAND(F.lit((1 << MANTISSA_BITS) - 1)) / F.lit(float(1 << MANTISSA_BITS))
+    score = (1 + fraction) * F.pow(F.lit(2.0), exponent - half) * F.pow(F.lit(2.0), half)
+    return F.when(key > 0, score).otherwise(0.0)
 
 
 def _never_null(column: Column) -> Column:
@@ -77,22 +108,21 @@ def ranking_curve(
     groups = list(groups)
     per_score = (
         _known(scored, label, score)
-        .groupBy(*groups, _score_key(score).alias("_key"))
+        .groupBy(*groups, checked(score).alias("score"))
         .agg(
             F.count(F.when(F.col(label) == 1, 1)).alias("n_pos"),
             F.count(F.when(F.col(label) != 1, 1)).alias("n_neg"),
         )
-        .withColumns(
-            {
-                "_middle": _never_null(F.floor(F.col("_key") / LEVEL)),
-                "_top": _never_null(F.floor(F.col("_key") / LEVEL**2)),
-            }
-        )
+        .withColumn("_key", _order_key(F.col("score")))
+        .drop("score")
+        .withColumn("_middle", _never_null(F.shiftright("_key", LEVEL_BITS)))
     )
     # Each level is counted from the running totals of the finer one, which has
-    # just been brought together by that level's digits: no exchange of its own.
+    # just been brought together by that level's bits: no exchange of its own.
     by_score = _with_totals_above(per_score, [*groups, "_middle"], "_key")
-    per_middle = _last_totals(by_score, [*groups, "_top", "_middle"])
+    per_middle = _last_totals(by_score, [*groups, "_middle"]).withColumn(
+        "_top", _never_null(F.shiftright("_middle", LEVEL_BITS))
+    )
     by_middle = _with_totals_above(per_middle, [*groups, "_top"], "_middle")
     by_top = _with_totals_above(_last_totals(by_middle, [*groups, "_top"]), groups, "_top")
 
@@ -100,7 +130,7 @@ def ranking_curve(
     curve = _with_carry(by_score, by_middle, [*groups, "_middle"])
     return curve.select(
         *groups,
-        (F.col("_key") / F.lit(float(SCALE))).alias("score"),
+        _score_of(F.col("_key")).alias("score"),
         "n_pos",
         "n_neg",
         (F.col("_n_pos_above") + F.col("n_pos")).alias("tp"),
@@ -134,8 +164,7 @@ def auroc_columns() -> list[Column]:
 def auprc_column() -> Column:
     """Average precision: precision at each distinct score, weighted by its positives."""
     precision = F.col("tp").cast("double") / (F.col("tp") + F.col("fp"))
-    area = F.try_divide(F.sum(F.col("n_pos") * precision), F.sum("n_pos"))
-    return F.round(area, 9).alias("auprc")
+    return F.try_divide(F.sum(F.col("n_pos") * precision), F.sum("n_pos")).alias("auprc")
 
 
 def auroc(scored: DataFrame, label="label", score="score", groups: Sequence[str] = ()) -> DataFrame:
@@ -171,7 +200,7 @@ def confusion(
     groups: Sequence[str] = (),
 ) -> DataFrame:
     """Confusion counts and the rates from them; positive means at or above ``threshold``."""
-    positive, called = F.col(label) == 1, F.col(score) >= F.lit(float(threshold))
+    positive, called = F.col(label) == 1, checked(score) >= F.lit(float(threshold))
 
     def rows(condition: Column, name: str) -> Column:
         return F.count(F.when(condition, 1)).alias(name)
@@ -197,18 +226,19 @@ def calibration(
     groups: Sequence[str] = (),
 ) -> DataFrame:
     """Mean score against observed rate in equal-width score bins (1.0 joins the last)."""
-    key = _whole(_score_key(score))
+    value = checked(score)
+    digits = _whole(F.round(value * F.lit(float(MEAN_SCALE))).cast("long"))
     n = F.count(F.lit(1))
     return (
         _known(scored, label, score)
         .groupBy(
             *groups,
-            F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int").alias("bin"),
+            F.least(F.floor(value * bins), F.lit(bins - 1)).cast("int").alias("bin"),
         )
         .agg(
             n.alias("n_rows"),
             F.count(F.when(F.col(label) == 1, 1)).alias("n_pos"),
-            (F.sum(key).cast("double") / (n * F.lit(float(SCALE)))).alias("mean_score"),
+            (F.sum(digits).cast("double") / (n * F.lit(float(MEAN_SCALE)))).alias("mean_score"),
             (F.count(F.when(F.col(label) == 1, 1)) / n).alias("observed_rate"),
         )
     )

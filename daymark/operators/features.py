@@ -39,13 +39,19 @@ def daily_values(
     time: str = "charttime",
     item: str = "item",
     value: str = "value",
+    day_starts_at: int = 0,
 ) -> DataFrame:
-    """One row per stay and calendar day from a long table of measurements.
+    """One row per stay and day from a long table of measurements.
+
+    A day is the 24 hours from ``day_starts_at`` (an hour) and carries the date
+    on which it starts.
 
     All measures come from one aggregation, combined before the shuffle, so a
     patient with very many measurements sends few rows.
     """
-    return measurements.groupBy(*STAY, F.to_date(time).alias(DAY)).agg(
+    start = F.make_dt_interval(hours=F.lit(day_starts_at))
+    day = F.to_date(F.col(time) - start if day_starts_at else time)
+    return measurements.groupBy(*STAY, day.alias(DAY)).agg(
         *[m.column(item, value) for m in measures]
     )
 

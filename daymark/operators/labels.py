@@ -48,11 +48,17 @@ def label_days(days: DataFrame, *criteria: Criterion, **over) -> DataFrame:
     return over_stays(scored, lambda rows, look: _look_ahead(rows, criteria, look), **over)
 
 
+def with_sic_labels(days: DataFrame, criterion: Criterion = SIC, **over) -> DataFrame:
+    """Whole rows with their SIC labels, for all days with a known follow-up."""
+    _check(days, (criterion,))
+    scored = score_days(days, criterion)
+    return over_stays(scored, lambda rows, look: _known_ahead(rows, criterion, look), **over)
+
+
 def sic_labels(days: DataFrame, criterion: Criterion = SIC, **over) -> DataFrame:
     """Label table: keys, inputs and labels of the days with a known follow-up."""
     _check(days, (criterion,))
-    scored = score_days(days.select(*KEYS, *criterion.inputs), criterion)
-    return over_stays(scored, lambda rows, look: _known_ahead(rows, criterion, look), **over)
+    return with_sic_labels(days.select(*KEYS, *criterion.inputs), criterion, **over)
 
 
 def merge_in_one_pass(days: DataFrame, criterion: Criterion = SIC, **over) -> DataFrame:
@@ -63,9 +69,7 @@ def merge_in_one_pass(days: DataFrame, criterion: Criterion = SIC, **over) -> Da
     left out, as no join would match them; they are dropped before the
     window, which cannot change another row's follow-up.
     """
-    _check(days, (criterion,))
-    scored = score_days(days.filter(no_null_keys()), criterion)
-    return over_stays(scored, lambda rows, look: _known_ahead(rows, criterion, look), **over)
+    return with_sic_labels(days.filter(no_null_keys()), criterion, **over)
 
 
 def merge_by_join(

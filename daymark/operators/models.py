@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,9 +15,6 @@ from daymark.functions.keys import KEYS
 from daymark.operators.evaluate import auroc
 from daymark.session import cut_lineage
 
-ROWS_PER_SHUFFLE_BLOCK = 100_000
-
-
 def modelling_table(labelled: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     """Keys, label and features of the rows with a known label, in reliable storage.
 
@@ -35,6 +31,10 @@ def modelling_table(labelled: DataFrame, label: str, features: Sequence[str]) ->
 
 
 def _fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
+    counts = train.agg(*[F.count(F.nanvl(f, F.lit(None))).alias(f) for f in features]).first()
+    unknown = [f for f in features if not counts[f]]
+    if unknown:
+        raise ValueError(f"no known value in training: {', '.join(unknown)}")
     filled = [f"{f}_filled" for f in features]
     stages = [
         Imputer(inputCols=list(features), outputCols=filled),
@@ -46,7 +46,13 @@ def _fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
 
 def fit_logistic(train: DataFrame, features: Sequence[str], **params) -> PipelineModel:
     """Logistic regression; missing values take the training mean."""
-    return _fit(train, features, LogisticRegression(**({"maxIter": 50} | params)))
+    return _fit(train, features, LogisticRegression(**params))
+
+
+def converged(model: PipelineModel) -> bool:
+    """Whether a fitted logistic regression stopped by itself, before its last allowed step."""
+    fitted = model.stages[-1]
+    return fitted.summary.totalIterations < fitted.getMaxIter()
 
 
 def fit_boosted_trees(train: DataFrame, features: Sequence[str], **params) -> PipelineModel:
@@ -58,7 +64,7 @@ def fit_boosted_trees(train: DataFrame, features: Sequence[str], **params) -> Pi
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Keys, label and the predicted probability of the label being 1."""
     return model.transform(rows).select(
-        *[c for c in (*KEYS, "feature", "label") if c in rows.columns],
+        *[c for c in (*KEYS, "feature", "split", "label") if c in rows.columns],
         vector_to_array("probability")[1].alias("score"),
     )
 
@@ -76,21 +82,30 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of AUROC when one feature is taken from another, random row.
 
-    Rows are dealt at random into blocks of bounded size, and in each block
-    every row borrows from the next one in random order, the last from the
-    first. All features are scored in one pass; per feature only the counts
-    by distinct score are shuffled.
+    All rows stand in one random order, and each borrows from the next, the last
+    from the first. The order is dealt into as many blocks as the session has
+    shuffle partitions; the last row of a block borrows from the first of the next.
+    All features are scored in one pass; per feature only the counts by distinct score are
+    shuffled.
     """
     rows = cut_lineage(rows)
-    blocks = max(1, math.ceil(rows.count() / ROWS_PER_SHUFFLE_BLOCK))
+    blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = F.struct(*features)
     # Over checkpointed rows a seeded draw repeats itself on recomputation.
     dealt = rows.withColumns(
         {"_block": F.floor(F.rand(seed) * blocks), "_draw": F.rand(seed + 1)}
     )
+    firsts = dealt.groupBy("_block").agg(F.min_by(values, "_draw").alias("_first"))
+    # One row per block: this window is a handful of rows.
+    by_block = Window.partitionBy().orderBy("_block")
+    every = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    beyond = firsts.select(
+        "_block",
+        F.coalesce(F.lead("_first").over(by_block), F.first("_first").over(every)).alias("_beyond"),
+    )
     order = Window.partitionBy("_block").orderBy("_draw")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    lent = F.coalesce(F.lead(values).over(order), F.first(values).over(whole))
+    dealt = dealt.withColumn("_near", F.lead(values).over(order)).join(beyond, "_block")
+    lent = F.coalesce("_near", "_beyond")
 
     def variant(name, borrowed):
         taken = [F.col(f"_lent.{f}") if f == borrowed else F.col(f) for f in features]

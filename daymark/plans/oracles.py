@@ -144,6 +144,21 @@ scored AS (
   FROM sic_kept
 )"""
 
+# The same names as _SCORED, so that the statements over it serve both.
+_FINELY_SCORED = """
+coarse AS (
+  SELECT *, CAST(CAST(round(mean_resp_rate * 400) AS BIGINT) % 1000 AS DOUBLE) / 1000 AS r
+  FROM sic_kept
+),
+scored AS (
+  SELECT sic_next_day AS label,
+         CASE subject_id % 3
+           WHEN 0 THEN r * CAST('1e-13' AS DOUBLE)
+           WHEN 1 THEN floor(r * 10) / 10 + (subject_id % 16) * CAST('1e-15' AS DOUBLE)
+           ELSE r / 3 END AS score
+  FROM coarse
+)"""
+
 
 def _with(*relations: str) -> str:
     return "WITH " + ",".join(relations)
@@ -154,6 +169,7 @@ _TO_ISTH = (*_TO_SIC, _isth_day("sic_kept"), _ISTH_LABELS)
 _TO_JAAM = (*_TO_SIC, _jaam_day("sic_kept"), _JAAM_LABELS)
 _TO_BOTH = (*_TO_ISTH, _jaam_day("isth_labels"), _JAAM_LABELS)
 _TO_SCORED = (*_TO_SIC, _SCORED)
+_TO_FINE = (*_TO_SIC, _FINELY_SCORED)
 
 _SIC_LABEL_TABLE = f"""{_with(*_TO_SIC)}
 SELECT * EXCLUDE (mean_heart_rate, mean_resp_rate, max_temperature, wbc_avg,
@@ -247,10 +263,86 @@ SELECT '{name}' AS table_name, count(*) AS n_rows, count(*) FILTER ({onset} = 1)
 FROM {source} {where}"""
 
 
+# Columns of a patient-day table.
 _MEASURED = (
-    "platelet_avg inr_avg average_sofa_score mean_heart_rate mean_resp_rate "
-    "max_temperature wbc_avg pt_avg fibrinogen_avg d_dimer_avg"
-).split()
+    "platelet_avg",
+    "inr_avg",
+    "average_sofa_score",
+    "mean_heart_rate",
+    "mean_resp_rate",
+    "max_temperature",
+    "wbc_avg",
+    "pt_avg",
+    "fibrinogen_avg",
+    "d_dimer_avg",
+)
+
+# A value that meets no threshold, in the place of NaN.
+_NEUTRAL = {
+    "platelet_avg": 1e9,
+    "inr_avg": 0,
+    "average_sofa_score": 0,
+    "mean_heart_rate": 0,
+    "mean_resp_rate": 0,
+    "max_temperature": 37,
+    "wbc_avg": 8000,
+    "pt_avg": 0,
+    "fibrinogen_avg": 1e9,
+    "d_dimer_avg": 0,
+}
+
+
+def _sparse_day() -> str:
+    """Patient-days with holes; the plain relation moves aside so that score statements read these."""
+    columns = ", ".join(
+        f"""CASE (subject_id + day(chart_date) + {i}) % 7 WHEN 0 THEN NULL
+            WHEN 1 THEN {_NEUTRAL[c]} ELSE {c} END AS {c}"""
+        for i, c in enumerate(_MEASURED)
+    )
+    whole = _PATIENT_DAY.replace("patient_day AS", "whole_day AS")
+    return f"{whole}, patient_day AS (SELECT subject_id, stay_id, chart_date, {columns} FROM whole_day)"
+
+
+_EVENT_ROWS = """
+event_rows AS (
+  SELECT CASE WHEN event_id % 50 <> 0 THEN user_id END AS subject_id,
+         CASE WHEN event_id % 50 <> 0 THEN user_id * 10 + 1 END AS stay_id,
+         CAST(ts AS DATE) AS chart_date, event_id,
+         CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) / 50 AS platelet_avg,
+         CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) / 3000 AS inr_avg,
+         CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) / 1500 AS average_sofa_score
+  FROM events
+)"""
+
+
+def _key_counts(source: str) -> str:
+    return f"""
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
+       CAST(coalesce(sum(n) FILTER (incomplete), 0) AS BIGINT) AS n_null_key_rows,
+       count(*) FILTER (n > 1) AS n_repeated_keys,
+       CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS n_repeated_key_rows,
+       coalesce(max(n), 0) AS n_largest_key_rows
+FROM (SELECT subject_id IS NULL OR stay_id IS NULL OR chart_date IS NULL AS incomplete, count(*) AS n
+      FROM {source} GROUP BY subject_id, stay_id, chart_date)"""
+
+
+_SPLIT = """CASE WHEN CAST('0x' || left(md5(CAST(subject_id AS VARCHAR)), 8) AS BIGINT) % 100 >= 85
+  THEN 'test' WHEN CAST('0x' || left(md5(CAST(subject_id AS VARCHAR)), 8) AS BIGINT) % 100 >= 70
+  THEN 'validation' ELSE 'train' END"""
+
+_ONE_FLAG = """
+flagged AS (
+  SELECT CAST(coalesce(platelet_avg < 100, false) AS INTEGER) AS low, count(*) AS n_rows,
+         avg(sic_next_day) AS rate
+  FROM sic_kept GROUP BY ALL
+)"""
+
+
+def _group_counts(task: str, model: str, source: str, onset: str) -> str:
+    return f"""
+SELECT '{task}' AS task, '{model}' AS model, {_SPLIT} AS split, CAST(subject_id % 4 AS INTEGER) AS grp,
+       count(*) FILTER ({onset} = 1) AS n_pos, count(*) FILTER ({onset} = 0) AS n_neg
+FROM {source} WHERE {_SPLIT} <> 'train' GROUP BY ALL"""
 
 
 def _missing_row(column: str) -> str:
@@ -329,7 +421,7 @@ FROM jaam_day""",
     + " UNION ALL ".join(
         (
             _table_row("sic_labels", "sic_kept", "sic_next_day"),
-            _table_row("days_with_sic", "sic_kept", "sic_next_day"),
+            _table_row("days_with_follow_up", "sic_kept", "sic_next_day"),
             _table_row("isth_labels", "isth_labels", "dic_next_day"),
             _table_row(
                 "sic_to_dic_isth",
@@ -346,17 +438,8 @@ FROM jaam_day""",
             ),
         )
     ),
-    "key_check": f"""{_with(_PATIENT_DAY)},
-per_key AS (
-  SELECT subject_id IS NULL OR stay_id IS NULL OR chart_date IS NULL AS incomplete, count(*) AS n
-  FROM patient_day GROUP BY subject_id, stay_id, chart_date
-)
-SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
-       CAST(coalesce(sum(n) FILTER (incomplete), 0) AS BIGINT) AS n_null_key_rows,
-       count(*) FILTER (NOT incomplete AND n > 1) AS n_repeated_keys,
-       CAST(coalesce(sum(n) FILTER (NOT incomplete AND n > 1), 0) AS BIGINT)
-         AS n_repeated_key_rows
-FROM per_key""",
+    "key_check": f"""{_with(_EVENT_ROWS)} {_key_counts("event_rows")}""",
+    "key_check_days": f"""{_with(_PATIENT_DAY)} {_key_counts("patient_day")}""",
     "label_yield": _with(*_TO_BOTH)
     + _yield_row("isth", "dic_today", "dic_next_day")
     + " UNION ALL "
@@ -367,10 +450,71 @@ SELECT dic_today, jaam_dic_today, count(*) AS n_days FROM jaam_labels GROUP BY A
     "auroc": f"""{_with(*_TO_SCORED, _ranking("", ""))}
 SELECT n_pos, n_neg, auroc FROM ranking""",
     "auprc": f"""{_with(*_TO_SCORED, _ranking("", ""))}
+SELECT n_pos, n_neg, auprc FROM ranking""",
+    "auroc_fine_scores": f"""{_with(*_TO_FINE, _ranking("", ""))}
+SELECT n_pos, n_neg, auroc FROM ranking""",
+    "auprc_fine_scores": f"""{_with(*_TO_FINE, _ranking("", ""))}
 SELECT n_pos, n_neg, auprc FROM ranking""",
     "confusion": f"{_with(*_TO_SCORED, _confusion(''))} SELECT * FROM rates",
     "calibration": _calibration("", 10),
     "fairness": f"""{_with(*_TO_SCORED, _ranking("PARTITION BY grp", "grp,"), _confusion("grp,"))}
 SELECT * FROM ranking JOIN rates USING (grp)""",
     "fairness_calibration": _calibration("grp,", 5),
+    "daily_measurements_from_seven": """
+WITH long AS (
+  SELECT user_id AS subject_id, user_id * 10 + CASE WHEN day(CAST(ts AS DATE)) <= 15 THEN 1 ELSE 2 END AS stay_id,
+         CAST(ts - INTERVAL 7 HOUR AS DATE) AS chart_date, CAST(round(value * 100) AS BIGINT) AS value
+  FROM events
+)
+SELECT subject_id, stay_id, chart_date, count(value) AS n_values, min(value) AS value_min,
+       CAST(sum(value) AS BIGINT) AS value_sum
+FROM long GROUP BY ALL""",
+    "sic_scores_sparse": f"""{_with(_sparse_day(), _SIC_DAY)}
+SELECT subject_id, stay_id, chart_date, platelet_score, inr_score, sofa_indicator, sic_today
+FROM sic_day""",
+    "isth_scores_sparse": f"""{_with(_sparse_day(), _isth_day("patient_day"))}
+SELECT subject_id, stay_id, chart_date, dic_platelet_score, dic_pt_score, dic_fibrinogen_score,
+       dic_d_dimer_score, dic_score, dic_today
+FROM isth_day""",
+    "jaam_scores_sparse": f"""{_with(_sparse_day(), _jaam_day("patient_day"))}
+SELECT subject_id, stay_id, chart_date, sirs_hr, sirs_rr, sirs_temp, sirs_wbc, sirs_score,
+       jaam_platelet_score, jaam_inr_score, jaam_score, jaam_dic_today
+FROM jaam_day""",
+    "stored_sic_labels": _SIC_LABEL_TABLE,
+    "stored_days_with_follow_up": _MERGED,
+    "stored_isth_labels": f"{_with(*_TO_ISTH)} SELECT * FROM isth_labels",
+    "stored_sic_to_dic_isth": f"""{_with(*_TO_ISTH)}
+SELECT * FROM isth_labels WHERE sic_today = 1 AND dic_next_day IS NOT NULL""",
+    "stored_jaam_labels": f"{_with(*_TO_JAAM)} SELECT * FROM jaam_labels",
+    "stored_sic_to_dic_jaam": _TO_DIC_JAAM,
+    "stored_create_if_absent": _TO_DIC_JAAM,
+    "stored_sort": f"""{_with(*_TO_SIC)}
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order FROM sic_kept""",
+    "model_rows": f"""{_with(*_TO_SIC)}
+SELECT subject_id, stay_id, chart_date, sic_next_day AS label, {_SPLIT} AS split, true AS scored
+FROM sic_kept WHERE {_SPLIT} <> 'train'""",
+    "model_group_counts": f"{_with(*_TO_JAAM)},"
+    + """
+progression AS (
+  SELECT * FROM jaam_labels WHERE sic_today = 1 AND jaam_dic_progression IS NOT NULL
+)"""
+    + " UNION ALL ".join(
+        _group_counts(task, model, source, onset)
+        for task, source, onset in (
+            ("sic", "sic_kept", "sic_next_day"),
+            ("dic", "progression", "jaam_dic_progression"),
+        )
+        for model in ("logistic", "trees")
+    ),
+    "logistic_one_flag": f"""{_with(*_TO_SIC, _ONE_FLAG)}
+SELECT low, n_rows, round(rate, 6) AS lowest, round(rate, 6) AS highest, true AS converged FROM flagged""",
+    "trees_one_flag": f"""{_with(*_TO_SIC, _ONE_FLAG)}
+SELECT low, n_rows, round(1 / (1 + exp(-2 * (2 * rate - 1))), 6) AS lowest,
+       round(1 / (1 + exp(-2 * (2 * rate - 1))), 6) AS highest
+FROM flagged""",
+    "importance_one_flag": f"""{_with(*_TO_SIC, _ONE_FLAG)}
+SELECT 'low' AS feature, 1.0::DOUBLE AS importance, NULL::DOUBLE AS loss_of_same, count(*) = 2 AS matters
+FROM flagged
+UNION ALL
+SELECT DISTINCT 'same', 0.0::DOUBLE, 0.0::DOUBLE, false FROM flagged""",
 }

@@ -7,9 +7,10 @@ from dataclasses import dataclass, fields
 from pyspark.sql import SparkSession
 
 from daymark.functions.criteria import ISTH, JAAM, SIC
-from daymark.functions.keys import DAY, STAY
+from daymark.functions.keys import DAY, KEYS, STAY, no_null_keys
 from daymark.functions.scoring import Criterion
-from daymark.operators.labels import label_days, merge_in_one_pass, on_sic_days, sic_labels
+from daymark.operators.labels import label_days, on_sic_days, with_sic_labels
+from daymark.session import cut_lineage
 from daymark.sources.tables import is_path, read_table, write_table
 
 
@@ -18,7 +19,7 @@ class LabelTables:
     """Where the tables go: catalog names or Parquet paths."""
 
     sic_labels: str
-    days_with_sic: str
+    days_with_follow_up: str
     isth_labels: str
     sic_to_dic_isth: str
     jaam_labels: str
@@ -39,7 +40,7 @@ def build_sic_tables(
     buckets: int | None = None,
     **over,
 ) -> None:
-    """From patient-days: the SIC label table, and whole rows merged with it.
+    """From patient-days: the SIC label table, and the whole rows of its days.
 
     With ``buckets`` (catalog tables only) the merged table is stored bucketed
     by stay and sorted by day, so the DIC label tables are built from it
@@ -48,17 +49,19 @@ def build_sic_tables(
     """
     if source.rstrip("/") in {getattr(target, f.name) for f in fields(target)}:
         raise ValueError(f"{source} would be replaced while it is read")
-    days = read_table(spark, source)
-    write_table(sic_labels(days, sic, **over), target.sic_labels, sort_by=["stay_id", DAY])
-
     layout = {}
     if buckets:
         if not over.get("unique_days"):
             raise ValueError("buckets need unique_days")
         layout = {"bucket_by": STAY, "sort_by": [*STAY, DAY], "buckets": buckets}
-        # The window keeps this partitioning, so it costs no second exchange.
-        days = days.repartition(buckets, *STAY)
-    write_table(merge_in_one_pass(days, sic, **over), target.days_with_sic, **layout)
+
+    # Both tables come from one pass over the stays, so they cannot disagree.
+    followed = cut_lineage(with_sic_labels(read_table(spark, source), sic, **over))
+    narrow = followed.select(*KEYS, *sic.inputs, *sic.outputs)
+    write_table(narrow, target.sic_labels, sort_by=["stay_id", DAY])
+    merged = followed.filter(no_null_keys())
+    merged = merged.repartition(buckets, *STAY) if buckets else merged
+    write_table(merged, target.days_with_follow_up, **layout)
 
 
 def build_progression_tables(
@@ -93,7 +96,7 @@ def build_label_tables(
 ) -> None:
     """All three jobs; ``last_mode`` is for the last table, the JAAM progression set."""
     build_sic_tables(spark, source, target, sic, buckets, **over)
-    merged = target.days_with_sic
+    merged = target.days_with_follow_up
     build_progression_tables(
         spark, merged, isth, target.isth_labels, target.sic_to_dic_isth, sic, **over
     )

@@ -8,6 +8,8 @@ the order of summation.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,32 @@ def patient_days(events: DataFrame) -> DataFrame:
     )
 
 
+def sparse(days: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``days`` with NULL in a seventh of the values of each column, and NaN in another."""
+    place = F.col("subject_id") + F.dayofmonth(DAY)
+
+    def thinned(name: str, i: int) -> Column:
+        k = (place + i) % 7
+        return F.when(k == 0, None).when(k == 1, F.lit(float("nan"))).otherwise(F.col(name))
+
+    return days.withColumns({c: thinned(c, i) for i, c in enumerate(columns)})
+
+
+def event_rows(events: DataFrame) -> DataFrame:
+    """Each event as a row of its own, repeated days and NULL ids included, with three measurements."""
+    cents = F.round(F.col("value") * 100).cast("long")
+    known = F.when(F.col("event_id") % 50 != 0, F.col("user_id"))
+    return events.select(
+        known.alias("subject_id"),
+        (known * 10 + 1).alias("stay_id"),
+        F.to_date("ts").alias(DAY),
+        "event_id",
+        (cents.cast("double") / 50).alias("platelet_avg"),
+        (cents.cast("double") / 3000).alias("inr_avg"),
+        (cents.cast("double") / 1500).alias("average_sofa_score"),
+    )
+
+
 def patients(events: DataFrame) -> DataFrame:
     """One row per subject; the number in the first event stands in for the age."""
     age = F.regexp_extract("props", "[0-9]+", 0).try_cast("int")

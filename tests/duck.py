@@ -11,6 +11,7 @@ DUCK_TYPE = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from daymark.operators import evaluate
 
@@ -35,6 +36,9 @@ SPREADS = {
     "uniform": lambda rng: rng.random(),
     "crowded": lambda rng: 0.3 + rng.randrange(500) * 1e-11,
     "ends": lambda rng: rng.choice([0.0, 1.0, 1e-12, 0.5]),
+    "tiny": lambda rng: rng.randrange(50) * 1e-300,
+    "subnormal": lambda rng: rng.randrange(9) * 5e-324,
+    "one bit apart": lambda rng: 0.7 + rng.randrange(40) * 2.0**-53,
 }
 
 
@@ -86,9 +90,38 @@ def test_unknown_labels_and_scores_are_left_out(spark):
 
 
 @pytest.mark.parametrize("bad", [-0.1, 1.5, float("nan")])
-def test_scores_must_be_probabilities(spark, bad):
+@pytest.mark.parametrize(
+    "metric", [evaluate.auroc, evaluate.confusion, evaluate.calibration, evaluate.summary]
+)
+def test_scores_must_be_probabilities(spark, metric, bad):
     with pytest.raises(Exception, match="probability"):
-        evaluate.auroc(scored(spark, [(1, bad), (0, 0.1)])).collect()
+        metric(scored(spark, [(1, bad), (0, 0.1)])).collect()
+
+
+def test_close_scores_are_told_apart(spark):
+    for low, high in [(1e-13, 3e-13), (0.9999999999996, 0.9999999999999), (0.0, 5e-324)]:
+        assert evaluate.auroc(scored(spark, [(1, high), (0, low)])).first().auroc == 1.0
+
+
+def test_the_threshold_is_exact(spark):
+    rows = [(1, 0.4999999999999), (1, 0.5), (0, 0.49999999999999994)]
+    got = evaluate.summary(scored(spark, rows), threshold=0.5).first()
+    assert (got.tp, got.fn, got.tn, got.fp) == (1, 1, 1, 0)
+
+
+def test_order_keys_follow_the_scores(spark):
+    rng = random.Random(3)
+    values = [0.0, 1.0, 5e-324, 2.0**-1022, 0.5, 1 / 3]
+    values += [rng.random() * 2.0 ** -rng.randrange(0, 1070) for _ in range(3000)]
+    values += [v * (1 - 2.0**-53) for v in values[1:1500]]
+    values = sorted(set(values))
+    df = spark.createDataFrame([(v,) for v in values], "score double")
+    keyed = df.withColumn("k", evaluate._order_key(F.col("score")))
+    got = keyed.withColumn("back", evaluate._score_of(F.col("k"))).collect()
+    assert all(r.back == r.score for r in got)
+    keys = [r.k for r in sorted(got, key=lambda r: r.score)]
+    assert all(a < b for a, b in zip(keys, keys[1:]))
+    assert max(keys) < 1 << (3 * evaluate.LEVEL_BITS)
 
 
 def test_calibration(spark):

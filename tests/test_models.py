@@ -49,8 +49,7 @@ def test_importance(spark, rows):
     assert loss["told"] > 0.3 and abs(loss["noise"]) < 0.1
 
 
-def test_permutation_is_whole_in_each_block(spark, rows, monkeypatch):
-    monkeypatch.setattr(models, "ROWS_PER_SHUFFLE_BLOCK", 50)
+def test_each_row_borrows_from_one_other(spark, rows, monkeypatch):
     seen = []
 
     def watched(scored, groups):
@@ -63,6 +62,17 @@ def test_permutation_is_whole_in_each_block(spark, rows, monkeypatch):
     assert seen[0].groupBy("feature").count().select("count").distinct().collect() == [(583,)]
 
 
+def test_convergence_is_reported(rows):
+    assert not models.converged(models.fit_logistic(rows, ["noise"], maxIter=1))
+    assert models.converged(models.fit_logistic(rows, ["noise"]))
+
+
+def test_a_feature_without_values_is_refused(rows):
+    with pytest.raises(ValueError, match="empty"):
+        empty = rows.withColumn("empty", F.lit(float("nan")))
+        models.fit_logistic(empty, ["told", "empty"])
+
+
 def test_checkpoint_folder_is_the_sessions(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
     before = spark.sparkContext.getCheckpointDir()

@@ -1,9 +1,11 @@
 """The plans are the ones the jobs were written for."""
 
+import re
+
 import pytest
 
 from daymark.functions.criteria import JAAM
-from daymark.operators import labels
+from daymark.operators import evaluate, labels
 from daymark.plans.queries import QUERIES
 from daymark.sources.tables import read_table, write_table
 from tests.conftest import SMALL
@@ -43,6 +45,18 @@ def test_columns_and_filters_reach_the_scan(stored):
     assert "EqualTo(subject_id,3)" in later
 
 
+def test_ranking_exchanges_distinct_scores_by_level_once(spark):
+    from daymark.plans.queries import scored_days
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan then shows reuse
+    try:
+        plan = plan_of(evaluate.auroc(scored_days(spark, SMALL)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("- Exchange hashpartitioning(_middle") == 1
+    assert len(re.findall(r"ReusedExchange .* Exchange hashpartitioning\(_middle", plan)) == 1
+
+
 def test_merge_join_becomes_inner(stored):
     joined = labels.merge_by_join(stored, labels.sic_labels(stored, unique_days=True))
     optimized = joined._jdf.queryExecution().optimizedPlan().toString()
@@ -56,8 +70,9 @@ def test_sic_day_filter_stays_above_the_dic_window(stored):
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in (
-    "logistic", "gbt", "gbt_dic_progression", "model_evaluation", "tree_importance",
-    "permutation_importance",
+    "logistic", "gbt", "gbt_dic_progression", "model_rows", "model_evaluation",
+    "model_calibration", "model_fairness", "model_group_counts", "logistic_one_flag",
+    "trees_one_flag", "importance_one_flag", "tree_importance", "permutation_importance",
 )])
 def test_no_python_on_the_way(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))

@@ -13,7 +13,7 @@ def expected(days):
     both = labels.label_progression(days, unique_days=True)
     return {
         "sic_labels": 296,
-        "days_with_sic": 296,
+        "days_with_follow_up": 296,
         "isth_labels": 296,
         "sic_to_dic_isth": labels.on_sic_days(both, ISTH).count(),
         "jaam_labels": 296,
@@ -52,7 +52,7 @@ def test_six_tables_bucketed(spark, small_days):
     tables = LabelTables.under("marks")
     build_label_tables(spark, "marks.days", tables, buckets=4, unique_days=True)
     assert sizes(spark, tables) == expected(small_days)
-    merged = read_table(spark, tables.days_with_sic)
+    merged = read_table(spark, tables.days_with_follow_up)
     labelled = labels.label_days(merged, ISTH, JAAM, unique_days=True)
     plan = labelled._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("Sort [") == 1
