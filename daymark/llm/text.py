@@ -42,7 +42,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * STEP)[LOWER]
+RAW_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
+BYTE_VALUE = RAW_VALUE[LOWER]
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -83,6 +84,24 @@ def text_offsets(texts: pa.Array) -> np.ndarray:
     return raw[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
 
 
+def string_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each string, byte by byte."""
+    offsets = text_offsets(strings)
+    size = int(offsets[-1] - offsets[0])
+    if size == 0:
+        none = mix(np.zeros(len(strings), dtype=np.uint64))
+        return none, none
+    data = np.frombuffer(strings.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+    at, to = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+    up, down = _Powers.upto(size)
+    sums = np.zeros(size + 1, dtype=np.uint64)
+    hashes = []
+    for values in (RAW_VALUE, mix(RAW_VALUE)):
+        np.cumsum(values[data] * up[:size], out=sums[1:])
+        hashes.append(mix((sums[to] - sums[at]) * down[at] + (to - at).astype(np.uint64)))
+    return hashes[0], hashes[1]
+
+
 @dataclass
 class Words:
     """Words of some texts: text ``d`` has the words ``first[d]`` to ``first[d + 1]``."""
