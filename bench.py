@@ -27,6 +27,9 @@ HEADLINE = [
     "sic_to_dic_jaam",
     "dic_labels_both",
     "lag_delta",
+    "sic_labels_big_stays",
+    "lag_delta_big_stays",
+    "sic_to_dic_jaam_big_stays",
     "cohort",
     "label_tables",
     "label_yield",
@@ -34,7 +37,10 @@ HEADLINE = [
     "auroc",
     "auprc",
     "fairness",
+    "logistic",
     "gbt",
+    "model_evaluation",
+    "permutation_importance",
 ]
 
 

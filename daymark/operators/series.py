@@ -1,45 +1,42 @@
 """Looking at the neighbouring day of a stay, at any size of stay.
 
-``over_stays`` runs a step that needs LEAD or LAG. Almost every stay is a
-handful of days, and there a window over the stay is the best plan: one
-exchange, one sort, shared by every window of the step.
-
-A table with repeated days, copied rows or missing ids can hold a stay that
-is far too big for one task. Unless the caller knows that days are unique, a
-count over the two id columns looks for such stays first. If there are any,
-their rows take another way to the same result:
-
-* each row gets an id and, from it, a slice of its day; both are fixed by a
-  checkpoint, so a recomputed task sees the same order. A stay gets as many
-  slices as keep each of them well below the size for one task;
-* a window runs inside each slice of a day, another over the slices of a day
-  and a third over the days of a stay. The last two see one small row per
-  slice or day, combined before the shuffle.
-
-Rows of one day have no order of their own, so any order among them is a
-valid order for LEAD.
+``over_stays`` runs a step that needs LEAD or LAG. If days are unique, a window
+over the stay is the best plan: one exchange, one sort, shared by every window of
+the step, and the calendar bounds a stay.
+
+A table with repeated days, copied rows or missing ids can hold a stay, or a
+day of one, that is far too big for one task. Without ``unique_days`` every stay
+therefore takes a way on which no window holds more than a slice of a day, the
+slices of a day, or the days of a stay:
+
+* equal rows are one row with a count, combined before the shuffle. Which of them
+  comes first makes no difference;
+* rows of a day stand in the order of a hash of their content (or of the ``ties``
+  columns), so the result does not depend on partitions or on a rerun;
+* the first digits of that hash are the slice. Each slice and each day sends its
+  first (or last) few rows to the ones before (or after) it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daymark.functions.keys import DAY, STAY, match
-from daymark.session import cut_lineage
+from daymark.functions.keys import DAY, STAY
 
 Neighbour = Callable[[DataFrame, Mapping[str, tuple[str, int]]], DataFrame]
 Step = Callable[[DataFrame, Neighbour], DataFrame]
 
-ROWS_PER_TASK = 1_000_000  # a stay up to this size is sorted by one task
-MAX_BIG_STAYS = 100_000  # bounds the broadcast list of larger stays
-SLICES_PER_TASK = 4
+SLICE_DIGITS = 2  # hexadecimal: 256 slices of a day
+COPIES_AT_ONCE = 10_000
 
-# Keys of a sliced row. As structs they are never NULL, so that plain equality
+# Keys of a counted row. As structs they are never NULL, so that plain equality
 # also finds rows with a NULL id or day, and joins and windows share exchanges.
 SLICED_DAY = ["_stay", "_day", "_slice"]
+COUNTED = [*SLICED_DAY, "_tie", "_copies"]
 
 
 def neighbour_in_window(days: DataFrame, columns: Mapping[str, tuple[str, int]]) -> DataFrame:
@@ -54,98 +51,124 @@ def neighbour_in_window(days: DataFrame, columns: Mapping[str, tuple[str, int]])
 
 
 def over_stays(
-    days: DataFrame,
-    step: Step,
-    unique_days: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    days: DataFrame, step: Step, unique_days: bool = False, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Run ``step(rows, neighbour)``; it may add columns and filter rows.
 
-    ``unique_days`` states that no ``(subject, stay, day)`` repeats, as in a
-    table grouped by those keys or cleared by ``key_report``. The calendar
-    then bounds every stay and the check for big stays is left out.
+    ``unique_days`` states that no ``(subject, stay, day)`` repeats, NULL keys
+    included, as in a table grouped by those keys or one for which
+    ``key_report`` finds no repeated key.
+
+    Otherwise rows of the same day follow each other in the order of
+    :func:`tie_break`, the MD5 of the ``ties`` columns as JSON (all columns by default). Rows that agree in
+    ``ties`` but differ elsewhere are ordered by the MD5 of the whole row.
     """
+    if days.schema[DAY].dataType != T.DateType():
+        raise ValueError(f"{DAY} must be a date")
     if unique_days:
         return step(days, neighbour_in_window)
+    done = step(_counted(days, ties), neighbour_in_slices)
+    return _one_row_per_copy(done).drop(*COUNTED)
 
-    big = cut_lineage(_big_stays(days, rows_per_task))
-    if big.isEmpty():
-        return step(days, neighbour_in_window)
-    usual = match(days, F.broadcast(big), STAY, "left_anti")
-    large = match(days, F.broadcast(big), STAY, "inner")
-    return step(usual, neighbour_in_window).unionByName(
-        step(_slice_days(large), neighbour_in_slices).drop(*SLICED_DAY, "_row")
+
+def tie_break(columns: Sequence[str]) -> Column:
+    return F.md5(F.to_json(F.struct(*columns)).cast("binary"))
+
+
+def _counted(days: DataFrame, ties: Sequence[str]) -> DataFrame:
+    """One row for all that have the same content, with their number; combined before the shuffle."""
+    names = [f"`{c}`" for c in days.columns]
+    content = tie_break(names)
+    tie = F.concat(tie_break(ties), content) if ties else content
+    keyed = days.select(
+        F.struct(*STAY).alias("_stay"),
+        F.struct(DAY).alias("_day"),
+        F.substring(tie, 1, SLICE_DIGITS).alias("_slice"),
+        tie.alias("_tie"),
+        F.struct(*names).alias("_row"),
     )
+    once = keyed.groupBy(*SLICED_DAY, "_tie").agg(
+        F.first("_row").alias("_row"), F.count(F.lit(1)).alias("_copies")
+    )
+    return once.select(*[F.col("_row")[c].alias(c) for c in days.columns], *COUNTED)
 
 
 def neighbour_in_slices(days: DataFrame, columns: Mapping[str, tuple[str, int]]) -> DataFrame:
-    """``neighbour_in_window`` for the sliced rows of very large stays.
+    """``neighbour_in_window`` for counted rows.
 
-    Rows far ahead are reached one hop at a time. A hop reads its rows twice,
-    so they are checkpointed before it; the first time this fixes their ids.
-    """
-    for ahead in (True, False):
-        wanted = {new: at for new, at in columns.items() if (at[1] > 0) == ahead}
-        olds = dict.fromkeys(old for old, _ in wanted.values())
-        seen = {old: f"_seen{i}" for i, old in enumerate(olds)}
-        days = days.withColumns({name: F.col(old) for old, name in seen.items()})
-        for hop in range(1, max((abs(k) for _, k in wanted.values()), default=0) + 1):
-            days = _one_row_away(cut_lineage(days), list(seen.values()), ahead)
-            days = days.withColumns(
-                {new: F.col(seen[old]) for new, (old, k) in wanted.items() if abs(k) == hop}
-            )
-        days = days.drop(*seen.values())
-    return days
-
-
-def _big_stays(days: DataFrame, rows_per_task: int) -> DataFrame:
-    """Stays above ``rows_per_task`` and their number of slices.
-
-    Never more than ``MAX_BIG_STAYS``: with that many, each holds more than an
-    equal share of the table.
+    Copies of a row see each other; the last few also what follows, the first few what is before. So a
+    row becomes as many as there are different views, each with its count.
     """
-    sizes = days.groupBy(*STAY).agg(F.count(F.lit(1)).alias("_rows"))
-    share = sizes.agg((F.sum("_rows") / MAX_BIG_STAYS).alias("_share")).scalar()
-    return sizes.filter(F.col("_rows") > F.greatest(F.lit(rows_per_task), share)).select(
-        *STAY, F.ceil(F.col("_rows") * SLICES_PER_TASK / rows_per_task).alias("_slices")
-    )
+    ahead = max((k for _, k in columns.values() if k > 0), default=0)
+    back = max((-k for _, k in columns.values() if k < 0), default=0)
+    olds = list(dict.fromkeys(old for old, _ in columns.values()))
+    here = {old: f"c{i}" for i, old in enumerate(olds)}
+    days = days.withColumn("_here", F.struct(*[F.col(o).alias(n) for o, n in here.items()]))
+    for reach, forward, name in ((ahead, True, "_after"), (back, False, "_before")):
+        if reach:
+            days = _with_rows_beyond(days, reach, forward, name)
+
+    cells = F.least(F.col("_copies"), F.lit(back + ahead + 1))
+    days = days.withColumn("_cell", F.explode(F.sequence(F.lit(0).cast("long"), cells - 1)))
+    to_start = F.least("_cell", F.lit(back))
+    to_end = F.least(cells - 1 - F.col("_cell"), F.lit(ahead))
+    in_middle = F.col("_copies") - cells + 1
+
+    def seen(old: str, k: int) -> Column:
+        copies, others = (to_end, "_after") if k > 0 else (to_start, "_before")
+        other = F.get(F.col(others), (F.lit(abs(k) - 1) - copies).cast("int"))
+        return F.when(copies >= abs(k), F.col(old)).otherwise(other[here[old]])
+
+    days = days.withColumns({new: seen(old, k) for new, (old, k) in columns.items()})
+    return days.withColumns(
+        {
+            "_copies": F.when(F.col("_cell") == back, in_middle).otherwise(1),
+            "_tie": F.concat("_tie", F.lpad(F.col("_cell").cast("string"), 4, "0")),
+        }
+    ).drop("_here", "_after", "_before", "_cell")
 
 
-def _slice_days(days: DataFrame) -> DataFrame:
-    """Give each row an id and a slice of its day."""
-    keys = {"_stay": F.struct(*STAY), "_day": F.struct(DAY), "_row": F.monotonically_increasing_id()}
-    return (
-        days.withColumns(keys)
-        .withColumn("_slice", F.pmod(F.xxhash64("_row"), F.col("_slices")))
-        .drop("_slices")
-    )
+def _with_rows_beyond(days: DataFrame, reach: int, forward: bool, name: str) -> DataFrame:
+    """Add the values of the next ``reach`` rows of the stay (or the ones before), copies included."""
 
+    def order(column: str) -> Column:
+        return F.asc(column) if forward else F.desc(column)
 
-def _one_row_away(days: DataFrame, columns: list[str], ahead: bool) -> DataFrame:
-    """Replace ``columns`` by their values in the next (or previous) row of the stay."""
-    look, nearest = (F.lead, F.min) if ahead else (F.lag, F.max)
-    days = days.withColumn("_here", F.struct(*columns))
+    def following(column: Column, by: str, *keys: str) -> Column:
+        rows = Window.partitionBy(*keys).orderBy(order(by)).rowsBetween(1, reach)
+        return F.slice(F.flatten(F.collect_list(column).over(rows)), 1, reach)
 
-    # The row of a slice, and of a day, that its neighbour gets to see.
-    slices = days.groupBy(*SLICED_DAY).agg(nearest(F.struct("_row", "_here")).alias("_edge"))
-    per_day = slices.groupBy("_stay", "_day").agg(
-        nearest(F.struct("_slice", "_edge")).alias("_edge")
-    )
+    edge = F.min_by if forward else F.max_by
+    own = F.array_repeat(F.col("_here"), F.least("_copies", F.lit(reach)).cast("int"))
+    days = days.withColumns({"_own": own, "_near": following(own, "_tie", *SLICED_DAY)})
 
-    by_day = Window.partitionBy("_stay").orderBy("_day")
-    by_slice = Window.partitionBy("_stay", "_day").orderBy("_slice")
-    by_row = Window.partitionBy(*SLICED_DAY).orderBy("_row")
+    def first_rows(own: Column, near: Column) -> Column:
+        return F.slice(F.concat(own, near), 1, reach)
 
-    next_day = per_day.select(
-        "_stay", "_day", look("_edge._edge._here").over(by_day).alias("_next_day")
+    slices = days.groupBy(*SLICED_DAY).agg(
+        edge(first_rows(F.col("_own"), F.col("_near")), "_tie").alias("_first")
+    )
+    slices = slices.withColumn("_next_slices", following(F.col("_first"), "_slice", "_stay", "_day"))
+    per_day = slices.groupBy("_stay", "_day").agg(
+        edge(first_rows(F.col("_first"), F.col("_next_slices")), "_slice").alias("_first")
+    )
+    per_day = per_day.select("_stay", "_day", following(F.col("_first"), "_day", "_stay").alias("_next_days"))
+    beyond = slices.join(per_day, ["_stay", "_day"]).select(
+        *SLICED_DAY, first_rows(F.col("_next_slices"), F.col("_next_days")).alias("_beyond")
     )
-    beyond = (
-        slices.withColumn("_next_slice", look("_edge._here").over(by_slice))
-        .join(next_day, ["_stay", "_day"])
-        .select(*SLICED_DAY, F.coalesce("_next_slice", "_next_day").alias("_beyond"))
+    days = days.join(beyond, SLICED_DAY)
+    return days.withColumn(name, first_rows(F.col("_near"), F.col("_beyond"))).drop(
+        "_own", "_near", "_beyond"
     )
-    days = days.withColumn("_near", look("_here").over(by_row)).join(beyond, SLICED_DAY)
-    days = days.withColumn("_found", F.coalesce("_near", "_beyond"))
-    return days.withColumns({c: F.col(f"_found.{c}") for c in columns}).drop(
-        "_here", "_near", "_beyond", "_found"
+
+
+def _one_row_per_copy(rows: DataFrame) -> DataFrame:
+    """Write out the copies; those of one row are dealt over tasks in parts."""
+    many = rows.filter("_copies > 1").withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_AT_ONCE).cast("long")))
     )
+    part = F.least(F.lit(COPIES_AT_ONCE), F.col("_copies") - F.col("_from"))
+    # As many parts as the session has: their rows are few and small before they are written out.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(parts, "_tie", "_from").withColumn("_copy", F.explode(F.sequence(F.lit(1), part.cast("int"))))
+    return rows.filter("_copies = 1").unionByName(many.drop("_from", "_copy"))

@@ -460,6 +460,15 @@ SELECT n_pos, n_neg, auprc FROM ranking""",
     "fairness": f"""{_with(*_TO_SCORED, _ranking("PARTITION BY grp", "grp,"), _confusion("grp,"))}
 SELECT * FROM ranking JOIN rates USING (grp)""",
     "fairness_calibration": _calibration("grp,", 5),
+    "sic_labels_repeated_days": f"""{_with(
+        _EVENT_ROWS,
+        "patient_day AS (SELECT * FROM event_rows)",
+        _SIC_DAY,
+        _SIC_KEPT.replace(
+            "chart_date NULLS FIRST", "chart_date NULLS FIRST, md5('{\"event_id\":' || event_id || '}')"
+        ),
+    )}
+SELECT * FROM sic_kept""",
     "daily_measurements_from_seven": """
 WITH long AS (
   SELECT user_id AS subject_id, user_id * 10 + CASE WHEN day(CAST(ts AS DATE)) <= 15 THEN 1 ELSE 2 END AS stay_id,

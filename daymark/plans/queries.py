@@ -3,8 +3,7 @@
 All of them start from the patient-days derived from the whole ``events``
 table. That table is grouped by its keys, so days are unique and a stay is
 bounded by the calendar (``unique_days=True``). The ``*_big_stays`` queries
-make no use of that: they count, and send every stay of more than
-``BIG_STAY`` days the way meant for very large ones.
+make no use of that: they go the way that holds for stays of any size.
 """
 
 from __future__ import annotations
@@ -34,7 +33,6 @@ from daymark.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BIG_STAY = 10
 # Columns of a patient-day table.
 MEASURED = (
     "platelet_avg",
@@ -93,14 +91,14 @@ def daily_measurements_from_seven(spark, folder):
     )
 
 
-def lag_delta(spark, folder, **over):
-    over = over or {"unique_days": True}
-    days = features.with_trends(read_patient_days(spark, folder), **TRENDS, **over)
+def lag_delta(spark, folder, unique_days=True):
+    days = read_patient_days(spark, folder)
+    days = features.with_trends(days, **TRENDS, unique_days=unique_days)
     return days.select(*KEYS, *TREND_COLUMNS)
 
 
 def lag_delta_big_stays(spark, folder):
-    return lag_delta(spark, folder, rows_per_task=BIG_STAY)
+    return lag_delta(spark, folder, unique_days=False)
 
 
 def cohort(spark, folder):
@@ -147,7 +145,13 @@ def sic_labels(spark, folder):
 
 
 def sic_labels_big_stays(spark, folder):
-    return labels.sic_labels(read_patient_days(spark, folder), rows_per_task=BIG_STAY)
+    return labels.sic_labels(read_patient_days(spark, folder))
+
+
+def sic_labels_repeated_days(spark, folder):
+    """Single events as rows: days repeat, and their order in a day is that of the hash of their id."""
+    days = event_rows(read_events(spark, folder))
+    return labels.with_sic_labels(days, ties=["event_id"])
 
 
 def sic_merge_join(spark, folder):
@@ -194,7 +198,7 @@ def sic_to_dic_jaam(spark, folder):
 
 
 def sic_to_dic_jaam_big_stays(spark, folder):
-    return labels.sic_to_dic(read_patient_days(spark, folder), JAAM, rows_per_task=BIG_STAY)
+    return labels.sic_to_dic(read_patient_days(spark, folder), JAAM)
 
 
 def dic_labels_both(spark, folder):
@@ -542,6 +546,7 @@ QUERIES: dict[str, Query] = {
         jaam_scores_sparse,
         sic_labels,
         sic_labels_big_stays,
+        sic_labels_repeated_days,
         sic_merge_join,
         sic_merge_onepass,
         isth_scores,

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from daymark.functions.keys import KEYS
 from daymark.functions.criteria import ISTH, JAAM, SIC
 from daymark.operators import labels
 from tests.build import day, days_of
@@ -91,7 +92,7 @@ def expected(stays):
     return result
 
 
-@pytest.mark.parametrize("over", [{"unique_days": True}, {"rows_per_task": 6}])
+@pytest.mark.parametrize("over", [{"unique_days": True}, {"ties": KEYS}])
 def test_chain(spark, over):
     rng = random.Random(5)
     stays, rows = {}, []

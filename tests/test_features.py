@@ -37,7 +37,7 @@ def test_daily_values(spark):
     }
 
 
-@pytest.mark.parametrize("over", [{"unique_days": True}, {"rows_per_task": 3}])
+@pytest.mark.parametrize("over", [{"unique_days": True}, {"ties": KEYS}])
 def test_trends(small_days, over):
     got = features.with_trends(
         small_days, lags={"inr_avg": [1, 3]}, deltas=["inr_avg", "platelet_avg"], **over

@@ -27,7 +27,7 @@ def sequence(spark):
     return days_of(spark, rows)
 
 
-@pytest.mark.parametrize("over", [{"unique_days": True}, {}, {"rows_per_task": 1}])
+@pytest.mark.parametrize("over", [{"unique_days": True}, {}, {"ties": KEYS}])
 def test_sequence(sequence, over):
     merged = labels.merge_in_one_pass(sequence, **over)
     assert by_key(merged, "sic_today", "sic_tomorrow", "sic_next_day") == {
@@ -74,7 +74,7 @@ def repeated(spark):
     return days_of(spark, [(1, 1, n, build.SIC[s]) for n, s in [(0, 0), (0, 0), (1, 1)]])
 
 
-@pytest.mark.parametrize("over", [{}, {"rows_per_task": 1}])
+@pytest.mark.parametrize("over", [{}, {"ties": KEYS}])
 def test_repeated_key(repeated, over):
     table = labels.sic_labels(repeated, **over)
     assert table.count() == 2
@@ -87,7 +87,7 @@ def test_repeated_key(repeated, over):
     assert key_report(repeated).first() == (3, 0, 1, 2, 2)
 
 
-@pytest.mark.parametrize("over", [{}, {"rows_per_task": 1}])
+@pytest.mark.parametrize("over", [{}, {"ties": KEYS}])
 def test_null_keys(spark, over):
     rows = [(None, 1, n, build.SIC[0]) for n in (0, 1, 2)]
     rows += [(2, 2, n, build.SIC[0]) for n in (None, 0, 1)]
@@ -109,7 +109,7 @@ def test_labelled_input_is_rejected(small_days):
         labels.sic_labels(small_days.drop("inr_avg"))
 
 
-@pytest.mark.parametrize("over", [{"unique_days": True}, {"rows_per_task": 1}])
+@pytest.mark.parametrize("over", [{"unique_days": True}, {"ties": KEYS}])
 def test_other_columns_pass_through(spark, over):
     extra = ["note string", "tags array<string>", "more map<string,int>", "ward.name string"]
     rows = [
@@ -144,7 +144,7 @@ def test_progression_counts(small_days):
 
 
 @pytest.mark.parametrize("criterion", [ISTH, JAAM])
-@pytest.mark.parametrize("over", [{"unique_days": True}, {"rows_per_task": 10}])
+@pytest.mark.parametrize("over", [{"unique_days": True}, {"ties": KEYS}])
 def test_lighter_progression_set(small_days, criterion, over):
     days = small_days.withColumns(
         {

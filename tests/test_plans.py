@@ -31,9 +31,14 @@ def test_one_pass_chain_has_one_exchange_and_one_sort(stored):
     assert "Join" not in plan
 
 
-def test_checked_table_without_big_stays_gets_the_same_plan(stored):
-    plan = plan_of(labels.label_progression(stored))
-    assert plan.count("Exchange hashpartitioning(subject_id") == 1 and "Union" not in plan
+def test_rows_are_read_once_without_unique_days(spark, stored):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan then shows reuse
+    try:
+        plan = plan_of(labels.sic_labels(stored))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("ReusedExchange") >= 1
+    assert "windowspecdefinition(subject_id" not in plan
 
 
 def test_columns_and_filters_reach_the_scan(stored):
