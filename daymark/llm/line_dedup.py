@@ -3,25 +3,31 @@
 Lines are sets of words. Words are ordered by rarity: the corpus count of one of
 ``BUCKETS`` hash buckets, an array of fixed size. If two sets are similar enough, the rarest words
 of each, its prefix, meet in at least one word, so each prefix word is a bucket of candidates.
-Length and positional filters thin them out, the words of both lines confirm them.
-
-Lines with equal sets are one class, represented by its first line. Within a bucket no list
-of all pairs is made: each round compares some lines, the hubs, with all others, and lines
-that are found to repeat an earlier one need no more hubs.
+Length and positional filters and a bound on the words not shared thin them out; the words
+of both lines confirm what is left.
+
+A bucket of up to ``DIRECT`` lines is compared as it is. In larger ones, and in those of words
+that occur more than ``OFTEN`` times, all lines are compared with the first, and only those that do not
+repeat it with others, so that copies of one line make no pairs among themselves. The rows of such words
+are salted. A line that repeats any earlier one goes: the candidate that looks closest is tried first, the
+others only if it fails.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.llm.storage import stored
 
 BUCKETS = 1 << 16
-FILTER = 1 << 18
-HUBS_GROWTH = 8
+FILTER = 1 << 20
+DIRECT = 128
+OFTEN = 20_000
+SALTS = 1024
+AT = ["doc_id", "line_no"]
 
 
 def words_of(line: Column) -> Column:
@@ -40,53 +46,89 @@ def _bucket(hashed: Column) -> Column:
 
 
 def rarity(lines: DataFrame) -> DataFrame:
-    """One row, one array: the rank of each word bucket, the rarest first, shifted to start at -BUCKETS / 2."""
+    """One row: the rank of each word bucket, the rarest first and shifted to start at -BUCKETS / 2,
+    and the rank from which on a bucket has more than ``OFTEN`` words."""
     words = lines.select(F.explode(words_of(F.col("line"))).alias("word"))
     counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     buckets = lines.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     every = buckets.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("n"))
     by_count = F.array_sort(F.collect_list(F.struct("n", "bucket")))
-    ranked = every.agg(by_count.alias("a")).select(
-        F.transform("a", lambda x, i: F.struct(x["bucket"].alias("bucket"), i.alias("rank"))).alias("a")
+    ranked = every.agg(by_count.alias("a"), F.count(F.when(F.col("n") <= OFTEN, 1)).alias("often")).select(
+        F.transform("a", lambda x, i: F.struct(x["bucket"].alias("bucket"), i.alias("rank"))).alias("a"), "often"
+    )
+    return ranked.select(
+        F.transform(F.array_sort("a"), lambda x: x["rank"] - BUCKETS // 2).alias("ranks"),
+        (F.col("often") - BUCKETS // 2).cast("long").alias("often"),
     )
-    return ranked.select(F.transform(F.array_sort("a"), lambda x: x["rank"] - BUCKETS // 2).alias("ranks"))
 
 
 def _prefix_size(n: Column, percent: int) -> Column:
     return (n - F.ceil(n * percent / 100) + 1).cast("int")
 
 
-def word_sets(lines: DataFrame, percent: int) -> DataFrame:
-    """doc_id, line_no, n, two hashes of the word set, and its rarest words as hashes in order.
+def bucket_rows(lines: DataFrame, percent: int, ranks: Column, often: Column) -> DataFrame:
+    """doc_id, line_no, n, odd, place, bucket, salt and frequent: a row for each rare word of each line.
 
-    A word's 64-bit hash is turned so that its highest bits are the rank of its bucket.
+    A word's 64-bit hash is turned so that its highest bits are the rank of its bucket. Bit i of
+    ``odd`` tells whether an odd number of words has a hash that ends in i. Sets so small that they are only
+    similar to equal ones have one row, with a hash of the whole set. ``salt`` is -1 for words that are not ``frequent``.
     """
-    ranks = rarity(lines).scalar()
     hashes = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
 
     def ranked(h: Column) -> Column:
-        rank = F.get(F.col("ranks"), _bucket(h)).cast("long")
+        # Never null, so that joins need no filter of their own and share their exchanges.
+        rank = F.coalesce(F.get(F.col("ranks"), _bucket(h)), F.lit(0)).cast("long")
         return F.shiftleft(rank, 48).bitwiseOR(F.shiftrightunsigned(h, 16))
 
     # The array is one object that all rows point to; a lambda may read it as a column.
-    hashed = lines.select("doc_id", "line_no", hashes.alias("hashes"), ranks.alias("ranks"))
-    keys = F.sort_array(F.transform("hashes", ranked))
-    sets = hashed.select("doc_id", "line_no", keys.alias("keys"))
+    hashed = lines.select(*AT, hashes.alias("hashes"), ranks.alias("ranks"))
+    sets = hashed.select(*AT, F.sort_array(F.transform("hashes", ranked)).alias("keys"))
+    one = F.lit(1).cast("long")
+    odd = F.aggregate(
+        "keys",
+        F.lit(0).cast("long"),
+        lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))),
+    )
     n = F.size("keys")
-    shortest = math.ceil(percent / (100 - percent))  # smaller sets are only similar to equal ones
-    prefix = F.when(n >= shortest, F.slice("keys", F.lit(1), _prefix_size(n, percent)))
-    return sets.select(
-        "doc_id",
-        "line_no",
-        n.alias("n"),
-        F.xxhash64("keys").alias("node"),
-        F.hash("keys").alias("check"),
-        prefix.alias("prefix"),
+    shortest = math.ceil(percent / (100 - percent))
+    prefix = F.when(n >= shortest, F.slice("keys", F.lit(1), _prefix_size(n, percent))).when(
+        n > 0, F.array(F.xxhash64("keys"))
+    )
+    # All that belongs to the line is worked out before it becomes several rows.
+    sets = sets.select(
+        *AT, n.alias("n"), odd.alias("odd"), F.get("keys", F.lit(0)).alias("_rarest"), prefix.alias("_prefix")
+    )
+    # Without "outer" the optimizer would work the prefix out once more, to drop lines without words.
+    rows = sets.select(
+        *AT, "n", "odd", "_rarest", F.posexplode_outer("_prefix").alias("place", "_key"), often.alias("_often")
+    ).filter("place IS NOT NULL")
+    rows = rows.withColumn("bucket", F.coalesce("_key", F.lit(0).cast("long")))
+    word = F.when(F.col("n") >= shortest, F.col("bucket")).otherwise(F.col("_rarest"))
+    salt = F.pmod(F.xxhash64(*AT), F.lit(SALTS)).cast("int")
+    frequent = F.coalesce(F.shiftright(word, 48) >= F.col("_often"), F.lit(False))
+    salt = F.coalesce(F.when(frequent, salt), F.lit(-1))
+    return rows.select(*AT, "n", "odd", "place", "bucket", salt.alias("salt"), frequent.alias("frequent"))
+
+
+def _may_be_similar(x: str, y: str, percent: int) -> Column:
+    """What places in a shared bucket, sizes and parities of two sets do not rule out."""
+
+    def col(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    n, m = col(x, "n"), col(y, "n")
+    overlap = F.ceil((n + m) * percent / (100 + percent))
+    room = 1 + F.least(n - col(x, "place") - 1, m - col(y, "place") - 1)
+    # Each word that one of the sets lacks turns one bit at most.
+    return (
+        (100 * F.least(n, m) >= percent * F.greatest(n, m))
+        & (room >= overlap)
+        & (n + m - 2 * overlap >= _apart(x, y))
     )
 
 
-def _similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
-    return 100 * shared >= percent * (a + b - shared)
+def _apart(x: str, y: str) -> Column:
+    return F.bit_count(F.col(f"{x}.odd").bitwiseXOR(F.col(f"{y}.odd")))
 
 
 def maybe_among(column: Column, values: DataFrame) -> Column:
@@ -103,76 +145,77 @@ def maybe_among(column: Column, values: DataFrame) -> Column:
     return F.get(marks.select(F.col("a.on").alias("on")).scalar(), place(column))
 
 
-def _confirmed(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Nodes that repeat an earlier one, among the candidate pairs (a, b)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
-    wanted = stored(wanted.select("node", "at"), "wanted")
-    ids = wanted.select(F.col("at.doc_id").alias("doc_id")).distinct()
-    near = docs.filter(maybe_among(F.col("doc_id"), ids))
-    lines = lines_of(near.join(ids.hint("shuffle_hash"), "doc_id", "left_semi"))
-    sets = (
-        lines.select(F.struct("doc_id", "line_no").alias("at"), "line")
-        .join(wanted, "at")
-        .select("node", "at", words_of(F.col("line")).alias("words"))
+def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Lines that repeat an earlier one, among pairs (a, b, sizes) of lines, a before b; sizes is of both sets."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), "wanted")
+    lines = lines_of(docs).select(F.struct(*AT).alias("at"), "line")
+    lines = lines.filter(maybe_among(F.col("at"), wanted)).join(wanted, "at")
+    sides = [lines.select(F.col("at").alias(s), F.col("line").alias(f"line_{s}")) for s in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    shared = F.size(F.array_intersect(words_of(F.col("line_a")), words_of(F.col("line_b"))))
+    # shared / (sizes - shared) >= percent / 100, with each side's words worked out once.
+    same = both.filter((100 + percent) * shared >= percent * F.col("sizes"))
+    return same.select(F.col("b").alias("at")).distinct()
+
+
+def _at(side: str) -> Column:
+    return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in AT])
+
+
+def _pairs(earlier: DataFrame, later: DataFrame, percent: int, *more: str) -> DataFrame:
+    """(a, b, apart, sizes) of lines in the same bucket, a before b, that may be similar. ``more`` has to agree, too."""
+    x, y = earlier.alias("x"), later.alias("y")
+    same = _at("x") < _at("y")
+    for key in ("bucket", *more):
+        same = same & (F.col(f"x.{key}") == F.col(f"y.{key}"))
+    pairs = x.join(y, same)
+    return pairs.filter(_may_be_similar("x", "y", percent)).select(
+        _at("x").alias("a"),
+        _at("y").alias("b"),
+        _apart("x", "y").alias("apart"),
+        (F.col("x.n") + F.col("y.n")).alias("sizes"),
     )
-    sides = [sets.select(*[F.col(c).alias(f"{c}_{s}") for c in sets.columns]) for s in "ab"]
-    both = pairs.join(sides[0], F.col("a") == F.col("node_a")).join(sides[1], F.col("b") == F.col("node_b"))
-    shared = F.size(F.array_intersect("words_a", "words_b"))
-    same = both.filter(_similar(shared, F.size("words_a"), F.size("words_b"), percent))
-    return same.select(F.when(F.col("at_a") < F.col("at_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct()
 
 
-def _repeated(sets: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
-    """Nodes whose first line is similar to an earlier line; None if there is no candidate."""
-    in_buckets = sets.select(
-        "node", "n", F.posexplode("prefix").alias("place", "bucket")
-    )
-    shared = in_buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
-    members = stored(
-        in_buckets.join(shared, "bucket", "left_semi").join(firsts.select("node", "at"), "node"), "members"
-    )
-    removed = tested = None
-    hubs_per_bucket = 1
-    while True:
-        marked = members.withColumn("gone", F.lit(False))
-        if removed is not None:
-            gone = removed.withColumn("gone", F.lit(True))
-            marked = members.join(gone, "node", "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
-        still = (
-            marked.groupBy("bucket")
-            .agg(F.count(F.lit(1)).alias("_n"), F.min("gone").alias("_gone"))
-            .filter("_n > 1 AND NOT _gone")
-        )
-        marked = stored(marked.join(still.select("bucket"), "bucket", "left_semi"), "members")
-        if marked.isEmpty():
-            return removed
-        salt = F.pmod(F.xxhash64("node"), F.lit(hubs_per_bucket))
-        hubs = (
-            marked.filter("NOT gone")
-            .groupBy("bucket", salt.alias("_salt"))
-            .agg(F.min_by(F.struct("node", "n", "place", "at"), "at").alias("h"))
-            .select("bucket", "h.*")
-        )
-        overlap = F.ceil((F.col("h.n") + F.col("m.n")) * percent / (100 + percent))
-        room = 1 + F.least(F.col("h.n") - F.col("h.place") - 1, F.col("m.n") - F.col("m.place") - 1)
-        later_gone = F.col("m.gone") & (F.col("m.at") > F.col("h.at"))
-        pairs = (
-            hubs.alias("h")
-            .join(marked.alias("m"), F.col("h.bucket") == F.col("m.bucket"))
-            .filter((F.col("h.node") != F.col("m.node")) & ~later_gone)
-            .filter(100 * F.least("h.n", "m.n") >= percent * F.greatest("h.n", "m.n"))
-            .filter(room >= overlap)
-            .select(F.least("h.node", "m.node").alias("a"), F.greatest("h.node", "m.node").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = _confirmed(pairs, firsts, docs, percent)
-        removed = stored(found if removed is None else removed.union(found).distinct(), "removed")
-        members = marked.drop("gone").join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        hubs_per_bucket *= HUBS_GROWTH
+def _repeating(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Lines b that repeat a line a of some candidate (a, b, apart); the closest a is tried first."""
+    pairs = stored(pairs.groupBy("a", "b", "sizes").agg(F.min("apart").alias("apart")), "pairs")
+    closest = pairs.groupBy("b").agg(F.min(F.struct("apart", "a", "sizes")).alias("_first"))
+    closest = closest.select("_first.a", "b", "_first.sizes")
+    found = stored(_confirmed(closest, docs, percent), "repeating")
+    others = pairs.join(found.withColumnRenamed("at", "b"), "b", "left_anti").join(closest, ["a", "b"], "left_anti")
+    others = stored(others.select("a", "b", "sizes"), "others")
+    return stored(found.union(_confirmed(others, docs, percent)).distinct(), "repeating")
+
+
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of two kinds: pairs (a, b) of small buckets, and the members of the others."""
+    # At most OFTEN rows without a salt; with one, a part of them. No filter on what the rows
+    # are dealt by, so that all uses share one exchange.
+    group = Window.partitionBy("bucket", "salt")
+    sized = rows.withColumn("_size", F.count(F.lit(1)).over(group))
+    small = sized.filter(~F.col("frequent") & F.col("_size").between(2, DIRECT))
+    large = sized.filter(F.col("frequent") | (F.col("_size") > DIRECT)).select(*AT, "n", "odd", "place", "bucket")
+    return _pairs(small, small, percent, "salt").unionByName(large, allowMissingColumns=True)
+
+
+def _repeated(rows: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The lines (at) that are similar to an earlier line."""
+    found = stored(_candidates(rows, percent), "candidates")
+    removed = _repeating(found.filter("a IS NOT NULL").select("a", "b", "apart", "sizes"), docs, percent)
+    members = found.filter("a IS NULL").drop("a", "b", "apart", "sizes")
+    if members.isEmpty():
+        return removed
+
+    def still(some: DataFrame) -> DataFrame:
+        gone = removed.select("at.*")
+        return some.join(gone, AT, "left_anti")
+
+    first = members.groupBy("bucket").agg(F.min(F.struct(*AT, "n", "odd", "place")).alias("h"))
+    found = _pairs(first.select("bucket", "h.*"), still(members), percent)
+    removed = stored(removed.union(_repeating(found, docs, percent)), "removed")
+    found = _pairs(members, still(members), percent)
+    return removed.union(_repeating(found, docs, percent)).distinct()
 
 
 def deduplicate_lines(
@@ -189,31 +232,18 @@ def deduplicate_lines(
     own = docs.filter(F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")
     )
-    sets = stored(word_sets(lines_of(own), percent), "sets").filter("n > 0")
-    first = F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("f")
-    classes = sets.groupBy("node", "check").agg(first)
-    classes = stored(
-        classes.select(
-            "node", "check", F.struct("f.doc_id", "f.line_no").alias("at"), F.col("f.n").alias("n"), "f.prefix"
-        ),
-        "classes",
-    )
-    repeated = _repeated(classes.filter("prefix IS NOT NULL"), classes.select("node", "at"), own, percent)
-    state = classes.select("node", "check", "at")
-    if repeated is not None:
-        state = state.join(repeated.withColumn("_gone", F.lit(True)), "node", "left")
-    else:
-        state = state.withColumn("_gone", F.lit(False))
-    is_first = (F.col("at.doc_id") == F.col("doc_id")) & (F.col("at.line_no") == F.col("line_no"))
-    removed = (
-        sets.select("doc_id", "line_no", "node", "check")
-        .join(state, ["node", "check"])
-        .filter(~is_first | F.coalesce("_gone", F.lit(False)))
-        .groupBy("doc_id")
-        .agg(F.collect_set("line_no").alias("_lines"))
-    )
+    lines = lines_of(own)
+    order = stored(rarity(lines), "rarity")
+    ranks, often = order.select("ranks").scalar(), order.select("often").scalar()
+    rows = bucket_rows(lines, percent, ranks, often)
+    repeated = stored(_repeated(rows, own, percent), "repeated")
+    removed = repeated.groupBy(F.col("at.doc_id").alias("_id")).agg(F.collect_set("at.line_no").alias("_lines"))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*kept).join(removed.withColumnRenamed("doc_id", "_id"), F.col(id_column) == F.col("_id"), "left")
+    # Only texts that may lose a line travel.
+    touched = F.coalesce(maybe_among(F.col(id_column), repeated.select("at.doc_id").distinct()), F.lit(False))
+    marked = docs.select(*kept).withColumn("_touched", touched)
+    joined = marked.filter("_touched").join(removed, F.col(id_column) == F.col("_id"), "left")
+    joined = joined.drop("_id").unionByName(marked.filter("NOT _touched"), allowMissingColumns=True)
     lines = F.split(text_column, "\n")
     left = F.when(
         F.col("_lines").isNotNull(),

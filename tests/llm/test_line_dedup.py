@@ -56,7 +56,10 @@ def test_against_all_pairs(spark, rows):
     )
 
 
-def test_many_near_copies_of_one_line(spark):
+@pytest.mark.parametrize("direct, often", [(128, 20_000), (3, 20_000), (128, 5)])
+def test_many_near_copies_of_one_line(spark, monkeypatch, direct, often):
+    monkeypatch.setattr(line_dedup, "DIRECT", direct)
+    monkeypatch.setattr(line_dedup, "OFTEN", often)
     rng = random.Random(3)
     base = [f"b{i}" for i in range(40)]
     rows = []
@@ -76,5 +79,7 @@ def test_empty_table(spark):
 
 def test_no_python_in_the_plan(spark):
     docs = documents(spark, line_rows(1, 5))
-    for df in (line_dedup.word_sets(line_dedup.lines_of(docs), 80), deduplicate_lines(docs)):
+    lines = line_dedup.lines_of(docs)
+    ranks, often = (line_dedup.rarity(lines).select(c).scalar() for c in ("ranks", "often"))
+    for df in (line_dedup.bucket_rows(lines, 80, ranks, often), deduplicate_lines(docs)):
         assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
