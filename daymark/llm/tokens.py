@@ -25,7 +25,7 @@ import regex
 from daymark.llm.text import string_hashes, text_offsets
 
 MAX_KNOWN = 3_000_000  # pieces whose ids a worker remembers; when full, it starts anew
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 UNSAFE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}] "
 PLAIN = regex.compile(r" ?\p{L}+| ?[.,!|]+|\n")
 
