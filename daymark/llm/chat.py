@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.llm.tasks import let_workers_import, map_batches
@@ -145,11 +145,41 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def one_row_per_turn(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text: of repeated rows of a turn the one with the smallest text stays, null as empty."""
-    row = F.struct(F.coalesce("text", F.lit("")).alias("text"), F.lower("role").alias("role"))
-    one = turns.groupBy("conv_id", F.coalesce("turn", F.lit(-1).cast("long")).alias("turn")).agg(F.min(row).alias("r"))
-    return one.select("conv_id", "turn", "r.role", "r.text")
+TIES = 256  # rows of one place from which they are dealt to slices
+PLACE = ("conv_id", "turn", "slice")
+
+
+def distinct_rows(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, slice, role, text: rows equal in conv_id, turn, role and text once, a null turn as -1.
+
+    Rows of one place stay and follow each other in the order of their texts. Where there are more than ``TIES`` of them, they are dealt
+    to slices by a hash of their content, and slices follow each other.
+    """
+    turns = turns.select("conv_id", F.coalesce("turn", F.lit(-1).cast("long")).alias("turn"), "role", "text")
+    many = turns.groupBy("conv_id", "turn").count().filter(F.col("count") > TIES)
+    many = many.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.ceil(F.col("count") / TIES).alias("_slices"))
+    rows = turns.dropDuplicates(["conv_id", "turn", "role", "text"])
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("turn") == F.col("_turn"))
+    # At most one row in TIES of the table.
+    dealt = rows.join(F.broadcast(many), same, "left")
+    slice_ = F.coalesce(F.pmod(F.xxhash64("text", "role"), F.col("_slices")), F.lit(0).cast("long"))
+    return dealt.select("conv_id", "turn", slice_.alias("slice"), "role", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _following(known: DataFrame) -> DataFrame:
+    """_before, role and count: roles of rows and of those before them, null at a start or after a gap."""
+    in_slice = Window.partitionBy(*PLACE).orderBy("text", "role")
+    slices = Window.partitionBy("conv_id", "turn").orderBy("slice")
+    inner = known.withColumn("_before", F.lag("role").over(in_slice)).filter("_before IS NOT NULL")
+    ends = known.groupBy(*PLACE).agg(
+        F.min(F.struct("text", "role"))["role"].alias("role"), F.max(F.struct("text", "role"))["role"].alias("_end")
+    )
+    chained = ends.withColumn("_within", F.lag("_end").over(slices))
+    last = ends.groupBy("conv_id", "turn").agg(F.max_by("_end", "slice").alias("_earlier"))
+    last = last.select(F.col("conv_id").alias("_conv"), (F.col("turn") + 1).alias("_turn"), "_earlier")
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("turn") == F.col("_turn"))
+    heads = chained.join(last, same, "left").select(F.coalesce("_within", "_earlier").alias("_before"), "role")
+    return inner.select("_before", "role").unionByName(heads).groupBy("_before", "role").count()
 
 
 def train(turns: DataFrame, usable: F.Column | None = None) -> RoleModel:
@@ -158,8 +188,8 @@ def train(turns: DataFrame, usable: F.Column | None = None) -> RoleModel:
     ``text`` may begin with a speaker marker, as in a transcript. What is collected are counts: a fixed
     number for each state and feature.
     """
-    known = one_row_per_turn(turns.filter(usable) if usable is not None else turns)
-    known = known.filter(F.col("role").isin(*ROLES))
+    known = distinct_rows(turns.filter(usable) if usable is not None else turns)
+    known = known.withColumn("role", F.lower("role")).filter(F.col("role").isin(*ROLES))
     counted = map_batches(known.select("role", "text"), _features_of, "feature int, state int, value long, n long")
     is_lines = F.col("feature") == len(SIZES)
     summed = counted.groupBy(
@@ -173,8 +203,7 @@ def train(turns: DataFrame, usable: F.Column | None = None) -> RoleModel:
             later_lines[r["state"] // 2] += r["total"]
         else:
             features[r["feature"]][r["state"], r["v"]] += r["n"]
-    after = known.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("_before"))
-    follows = known.join(after, ["conv_id", "turn"], "left").groupBy("_before", "role").count().collect()
+    follows = _following(known).collect()
     next_role = np.ones((len(ROLES) + 1, len(ROLES)))
     for r in follows:
         row = len(ROLES) if r["_before"] is None else ROLES.index(r["_before"])
@@ -193,9 +222,9 @@ def train(turns: DataFrame, usable: F.Column | None = None) -> RoleModel:
 
 
 def _lines(table: pa.Table) -> tuple[list[tuple[int, int]], list[str]]:
-    rows = sorted(zip(table["turn"].to_pylist(), table["text"].to_pylist(), strict=True))
+    rows = sorted(zip(*(table[c].to_pylist() for c in ("turn", "slice", "text")), strict=True))
     places, lines = [], []
-    for turn, text in rows:
+    for turn, _, text in rows:
         for i, line in enumerate(text.split("\n")):
             places.append((turn, i))
             lines.append(line)
@@ -209,6 +238,7 @@ def _matrix(model: RoleModel) -> Callable:
             {
                 "conv_id": table["conv_id"][:1],
                 "segment": table["segment"][:1],
+                "part": table["part"][:1],
                 "matrix": pa.array([matrix.tobytes()], pa.binary()),
             }
         )
@@ -217,29 +247,30 @@ def _matrix(model: RoleModel) -> Callable:
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (conv_id, segment): the states around each segment."""
+    """Rows sorted by (conv_id, segment, part): the states around each of them."""
 
-    def ended(conv: int | None, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    def ended(conv: int | None, rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         shape = (STATES + 1, STATES + 1)
-        ends = chain([np.frombuffer(m).reshape(shape) for _, m in rows])
+        ends = chain([np.frombuffer(m).reshape(shape) for _, _, m in rows])
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([conv] * len(rows), pa.int64()),
-                pa.array([s for s, _ in rows], pa.int64()),
+                pa.array([s for s, _, _ in rows], pa.int64()),
+                pa.array([p for _, p, _ in rows], pa.int64()),
                 pa.array([e[0] for e in ends], pa.int32()),
                 pa.array([e[1] for e in ends], pa.int32()),
             ],
-            names=["conv_id", "segment", "before", "end"],
+            names=["conv_id", "segment", "part", "before", "end"],
         )
 
     conv, rows = None, []
     for batch in batches:
-        for own, segment, matrix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for own, segment, part, matrix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if rows and own != conv:
                 yield ended(conv, rows)
                 rows = []
             conv = own
-            rows.append((segment, matrix))
+            rows.append((segment, part, matrix))
     if rows:
         yield ended(conv, rows)
 
@@ -278,17 +309,28 @@ def format_chats(turns: DataFrame, model: RoleModel, turns_per_segment: int = 25
     ``turns`` (conv_id, turn, text) are the parts of transcripts in order; where parts begin tells the model
     nothing. ``turn`` and ``line`` are the place of a found turn's first line. ``goes_on`` marks what continues the turn before it
     over the border of a segment. Null texts count as an empty line, rows without a conv_id as one transcript, a null turn as -1;
-    of repeated rows of a place one stays. Other columns are not read, an empty table gives no rows.
+    rows equal in conv_id, turn, text and role (if there is one) count once, others of one place follow each other. Other columns are not
+    read, an empty table gives no rows.
     """
-    turns = turns.select("conv_id", "turn", F.lit(None).cast("string").alias("role"), "text")
-    rows = one_row_per_turn(turns).select(
-        "conv_id", "turn", "text", F.floor(F.col("turn") / turns_per_segment).alias("segment")
+    role = F.col("role") if "role" in turns.columns else F.lit(None).cast("string")
+    turns = turns.select("conv_id", "turn", role.alias("role"), "text")
+    segment = F.floor(F.coalesce("turn", F.lit(-1).cast("long")) / turns_per_segment)
+    # Segments with many rows are cut at each turn and slice.
+    full = turns.groupBy("conv_id", segment.alias("_segment")).count().filter(F.col("count") > 16 * turns_per_segment)
+    full = full.select(F.col("conv_id").alias("_conv"), "_segment", F.lit(True).alias("_full"))
+    rows = distinct_rows(turns).withColumn("segment", segment)
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("segment") == F.col("_segment"))
+    cut = F.pmod("turn", F.lit(turns_per_segment)) * F.lit(1 << 40) + F.col("slice")
+    rows = rows.join(F.broadcast(full), same, "left").select(
+        "conv_id", "turn", "text", "segment", F.when(F.col("_full"), cut).otherwise(F.lit(0).cast("long")).alias("part"), "slice"
     )
     let_workers_import(turns.sparkSession)
-    keys = ("conv_id", "segment")
-    matrices = rows.groupBy(*keys).applyInArrow(_matrix(model), "conv_id long, segment long, matrix binary")
+    keys = ("conv_id", "segment", "part")
+    matrices = rows.groupBy(*keys).applyInArrow(
+        _matrix(model), "conv_id long, segment long, part long, matrix binary"
+    )
     ordered = matrices.repartition("conv_id").sortWithinPartitions(*keys)
-    around = map_batches(ordered, _chain, "conv_id long, segment long, before int, end int")
+    around = map_batches(ordered, _chain, "conv_id long, segment long, part long, before int, end int")
     return (
         rows.groupBy(*keys)
         .cogroup(around.groupBy(*keys))

@@ -89,3 +89,28 @@ def test_registered_query_keeps_every_line(spark):
     assert {r.conv_id for r in found} == {r.conv_id for r in turns}
     at = {(r.conv_id, r.turn): r.role for r in found if r.line == 0}
     assert np.mean([at.get((r.conv_id, r.turn)) == r.role for r in turns]) > 0.8
+
+
+@pytest.mark.parametrize("conv", [None, 5])
+def test_different_rows_of_one_place_all_stay(spark, conv):
+    """Many transcripts under one id, more at one turn than fit a slice, copies, and null turns."""
+    rows = [(conv, t, "user", f"User: text {t} {i}") for t in (0, 1, 300) for i in range(40)]
+    rows += [(conv, 2, "assistant", f"Assistant: many {i}") for i in range(5000)]
+    rows += [(conv, None, "user", f"User: no turn {i}") for i in range(5)]
+    rows += [(conv, 3, role, "the same") for role in ("user", "assistant")]
+    turns = frame(spark, rows + rows[:50])
+    kept = chat.distinct_rows(turns).collect()
+    assert sorted(r.text for r in kept) == sorted(r[3] for r in rows)
+    found = chat.format_chats(turns, chat.train(turns)).collect()
+    lines = [x for r in found for x in r.rendered.split("\n")[1:-1]]
+    assert sorted(x for x in lines if x) == sorted(chat.marker(r[3])[1] for r in rows)
+
+
+def test_roles_that_follow_within_a_place(spark):
+    rows = [(None, 0, "system", "a"), (None, 0, "user", "b"), (None, 1, "assistant", "c"), (1, 7, "user", "d")]
+    known = chat.distinct_rows(frame(spark, rows))
+    got = {(r["_before"], r["role"]): r["count"] for r in chat._following(known).collect()}
+    assert got == {(None, "system"): 1, ("system", "user"): 1, ("user", "assistant"): 1, (None, "user"): 1}
+    many = chat.distinct_rows(frame(spark, [(1, 0, "user", f"t{i}") for i in range(1000)]))
+    got = {(r["_before"], r["role"]): r["count"] for r in chat._following(many).collect()}
+    assert got == {(None, "user"): 1, ("user", "user"): 999}
