@@ -4,7 +4,7 @@ Byte-pair merges never cross the border between a visible character and a
 following white-space character, so a text can be cut before such spaces.
 Tasks cut texts at single spaces, look distinct pieces up among those encoded
 before and hand only new ones to the library. A text with a space
-right after other white space is encoded as a whole.
+right after other white space is encoded as a whole, and so is one that holds an added token.
 
 Plain pieces, of letters, a few signs and line ends, fall into the same words under the
 library's own rules whatever surrounds them. Such words go straight to its byte-pair model, which saves
@@ -14,7 +14,6 @@ most of the time that a call for a whole text takes; all other pieces take that
 from __future__ import annotations
 
 import os
-
 import unicodedata
 
 import numpy as np
@@ -41,14 +40,21 @@ BYTE_LETTERS = _byte_letters()
 
 
 class Encoder:
-    """Ids of whole texts; ``spaced`` says that a space belongs to the word after it."""
+    """Ids of whole texts; ``spaced`` says that a space belongs to the word after it.
+
+    ``added_as_text`` takes the added tokens of the file ("<|endoftext|>") as plain text where a text holds them. Without
+    it they get their own ids, as the library does by default.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = added_as_text
+        added = self.library.get_added_tokens_decoder().values()
+        # Texts with one of these are encoded as a whole.
+        self.added = [(t.content, t.normalized) for t in added if t.content and not added_as_text]
         self.spaced = len(self._whole([" "])[0]) > 0
         self.lowers = self._whole(["A"]) == self._whole(["a"])
         self._forget()
@@ -145,7 +151,10 @@ class Encoder:
         if not len(texts):
             return self.ids[:0], np.zeros(1, dtype=np.int64)
         texts = pc.fill_null(texts, "")
-        apart = pc.fill_null(pc.match_substring_regex(texts, UNSAFE), False) if self.spaced else None
+        apart = pc.match_substring_regex(texts, UNSAFE) if self.spaced else None
+        for content, normalized in self.added:
+            held = pc.match_substring(texts, content, ignore_case=normalized and self.lowers)
+            apart = held if apart is None else pc.or_(apart, held)
         whole = np.flatnonzero(apart.to_numpy(zero_copy_only=False)) if apart is not None else []
         cut = pc.if_else(apart, "", texts) if len(whole) else texts
         pieces = pc.split_pattern(cut, " ")
@@ -180,7 +189,7 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added_as_text=False)
     return _encoders[path]
 
 

@@ -27,3 +27,17 @@ def test_ids_are_the_librarys(name, known, monkeypatch):
         ids, offsets = own.encode(pa.array(part, pa.string()))
         expected = [library.encode(t or "", add_special_tokens=False).ids for t in part]
         assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == expected
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_operators_keep_the_librarys_default_for_added_tokens(name):
+    library = Tokenizer.from_file(tokenizer(name))
+    own = tokens.encoder(tokenizer(name))
+    held = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y z", "a  <|endoftext|>\n b", "<|startoftext|>hi <|endoftext|>"]
+    near = ["<|EndOfText|> q", "<|end oftext|>", "<|endoftext|"]
+    for part in ([*held, *near, *TRICKY], held[::-1], near):
+        ids, offsets = own.encode(pa.array(part, pa.string()))
+        expected = [library.encode(t or "", add_special_tokens=False).ids for t in part]
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == expected
+    end = library.token_to_id("<|endoftext|>")
+    assert own.encode(pa.array(["<|endoftext|>"]))[0].tolist() == [end]
