@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from daymark.llm import chat, licences
 from daymark.llm.backoff_lm import score_texts
 from daymark.llm.decontaminate import contaminated, find_benchmark, hit_words
+from daymark.llm.filter_audit import audit
 from daymark.llm.line_dedup import deduplicate_lines
 from daymark.llm.near_dedup import near_duplicates
 from daymark.llm.neighbours import nearest
 from daymark.llm.packing import cut_documents, pack
 from daymark.llm.planes import read_ids, segment_starts, write_ids
 from daymark.llm.quality import CUT, train, with_quality
+from daymark.llm.repeats import remove_repeats
+from daymark.llm.source_divergence import divergence
 from daymark.llm.storage import shared_path
 
 
@@ -128,6 +131,25 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return deduplicate_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence(table(spark, folder, "documents"))
+
+
+def op12_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, folder, "documents"))
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("left")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("left", 256).alias("kept_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -139,4 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_roles": op8_chat_roles,
     "op9_licence_scan": op9_licence_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_repeated_strings": op12_repeated_strings,
+    "op13_filter_audit": op13_filter_audit,
 }
