@@ -161,7 +161,9 @@ def _tile(key: tuple[pa.Scalar, ...], entries: pa.Table) -> pa.Table:
     # Terms of a similar frequency together have few levels.
     prices = prices[np.argsort(prices.sum(axis=1), kind="stable")]
     left, right = np.flatnonzero(tile_of == tile), np.flatnonzero(tile_of == other_tile)
-    value = priced_product(prices, left, right) if n_terms else np.zeros((len(left), len(right)), np.int64)
+    # A tile of the hash can lack groups, and a slab terms.
+    some = n_terms and len(left) and len(right)
+    value = priced_product(prices, left, right) if some else np.zeros((len(left), len(right)), np.int64)
     a, b = np.meshgrid(left, right, indexing="ij")
     a, b, value = a.ravel(), b.ravel(), value.ravel()
     if tile != other_tile:
