@@ -13,6 +13,14 @@ DAY = "chart_date"
 KEYS = [*STAY, DAY]
 
 
+def over_calendar(aggregate: str, frame: str) -> Column:
+    """An aggregate over calendar days around a row's own, as "2 PRECEDING AND CURRENT ROW".
+
+    It shares the exchange and the sort of windows over the recorded days of a stay.
+    """
+    return F.expr(f"{aggregate} OVER (PARTITION BY {', '.join(STAY)} ORDER BY {DAY} RANGE BETWEEN {frame})")
+
+
 def no_null_keys() -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in KEYS])
 

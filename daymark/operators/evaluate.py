@@ -94,6 +94,26 @@ def _with_carry(counts: DataFrame, carry: DataFrame, keys: Sequence[str]) -> Dat
     )
 
 
+def _per_score(
+    scored: DataFrame, label: str, score: str, groups: Sequence[str], weight: str | None
+) -> DataFrame:
+    """Labels (or their weights, whole numbers) counted per distinct score, with the score as a number."""
+
+    def labels(where: Column) -> Column:
+        if weight is None:
+            return F.count(F.when(where, 1))
+        return F.sum(F.when(where, F.col(weight).cast("long")).otherwise(0))
+
+    return (
+        _known(scored, label, score)
+        .groupBy(*groups, checked(score).alias("score"))
+        .agg(labels(F.col(label) == 1).alias("n_pos"), labels(F.col(label) != 1).alias("n_neg"))
+        .withColumn("_key", _order_key(F.col("score")))
+        .drop("score")
+        .withColumn("_middle", _never_null(F.shiftright("_key", LEVEL_BITS)))
+    )
+
+
 def ranking_curve(
     scored: DataFrame,
     label: str = "label",
@@ -106,17 +126,7 @@ def ranking_curve(
     above it.
     """
     groups = list(groups)
-    per_score = (
-        _known(scored, label, score)
-        .groupBy(*groups, checked(score).alias("score"))
-        .agg(
-            F.count(F.when(F.col(label) == 1, 1)).alias("n_pos"),
-            F.count(F.when(F.col(label) != 1, 1)).alias("n_neg"),
-        )
-        .withColumn("_key", _order_key(F.col("score")))
-        .drop("score")
-        .withColumn("_middle", _never_null(F.shiftright("_key", LEVEL_BITS)))
-    )
+    per_score = _per_score(scored, label, score, groups, None)
     # Each level is counted from the running totals of the finer one, which has
     # just been brought together by that level's bits: no exchange of its own.
     by_score = _with_totals_above(per_score, [*groups, "_middle"], "_key")
@@ -167,8 +177,47 @@ def auprc_column() -> Column:
     return F.try_divide(F.sum(F.col("n_pos") * precision), F.sum("n_pos")).alias("auprc")
 
 
-def auroc(scored: DataFrame, label="label", score="score", groups: Sequence[str] = ()) -> DataFrame:
-    return ranking_curve(scored, label, score, groups).groupBy(*groups).agg(*auroc_columns())
+def _with_lead(counts: DataFrame, within: Sequence[str], digit: str) -> DataFrame:
+    """``_lead`` grows by the pairs that differ first in ``digit``: wins less losses, exact."""
+    above = _with_totals_above(counts, within, digit)
+    wins = _whole(F.col("n_neg")) * _whole(F.col("_n_pos_above"))
+    losses = _whole(F.col("n_pos")) * _whole(F.col("_n_neg_above"))
+    return above.withColumn("_lead", (F.col("_lead") + (wins - losses)).cast("decimal(38,0)"))
+
+
+def _summed(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return counts.groupBy(*keys).agg(
+        F.sum("n_pos").alias("n_pos"),
+        F.sum("n_neg").alias("n_neg"),
+        F.sum("_lead").cast("decimal(38,0)").alias("_lead"),
+    )
+
+
+def auroc(
+    scored: DataFrame,
+    label="label",
+    score="score",
+    groups: Sequence[str] = (),
+    weight: str | None = None,
+) -> DataFrame:
+    """Share of pairs of a positive and a negative that the score ranks rightly, a tie as half.
+
+    Two scores differ first on one of the three levels of their bits; each
+    level counts its own pairs and hands its totals up, so nothing is handed
+    down again as for the whole curve. ``weight`` names a column of whole
+    numbers that rows count for.
+    """
+    groups = list(groups)
+    start = _per_score(scored, label, score, groups, weight).withColumn("_lead", F.lit(0).cast("decimal(38,0)"))
+    by_score = _with_lead(start, [*groups, "_middle"], "_key")
+    per_middle = _summed(by_score, [*groups, "_middle"]).withColumn(
+        "_top", _never_null(F.shiftright("_middle", LEVEL_BITS))
+    )
+    per_top = _summed(_with_lead(per_middle, [*groups, "_top"], "_middle"), [*groups, "_top"])
+    total = _summed(_with_lead(per_top, groups, "_top"), groups)
+    pairs = _whole(F.col("n_pos")) * _whole(F.col("n_neg"))
+    share = F.try_divide((pairs + F.col("_lead")).cast("double"), 2 * pairs.cast("double"))
+    return total.select(*groups, "n_pos", "n_neg", share.alias("auroc"))
 
 
 def auprc(scored: DataFrame, label="label", score="score", groups: Sequence[str] = ()) -> DataFrame:

@@ -64,7 +64,7 @@ def fit_boosted_trees(train: DataFrame, features: Sequence[str], **params) -> Pi
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Keys, label and the predicted probability of the label being 1."""
     return model.transform(rows).select(
-        *[c for c in (*KEYS, "feature", "split", "label") if c in rows.columns],
+        *[c for c in (*KEYS, "feature", "split", "fold", "label") if c in rows.columns],
         vector_to_array("probability")[1].alias("score"),
     )
 
