@@ -193,20 +193,101 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Automaton:
+    """States, arcs and failure arcs for the n-grams of one block, with the counts of the whole corpus.
+
+    State 0 is the root; every other one is a history seen in training, of up
+    to ``order - 1`` words. The arc of a word at a state has a log10 weight
+    and leads to the longest history that ends in the word; words are codes of
+    the block. ``failure`` leads to the history that is a word shorter.
+    """
+
+    def __init__(self, order: int, prior: float, tokens: int, types: int):
+        self.order, self.prior = order, prior
+        self.unknown = 1 / (tokens + types + 1)
+        self.failure, self.penalty = [np.zeros(1, np.int64)], [np.zeros(1)]
+        self.arcs: list[tuple[np.ndarray, ...]] = []
+        self.states = 1
+        # Of each distinct n-gram one word shorter: its state, probability and count.
+        self.state, self.probability, self.count = np.zeros(1, np.int64), None, None
+
+    def add(self, word: np.ndarray, history: np.ndarray, suffix: np.ndarray, count: np.ndarray) -> None:
+        """Add the distinct n-grams of the next length: the code of the last word, the numbers of the n-grams
+        without their last and without their first word, and counts in training."""
+        if self.probability is None:
+            probability = (count + 1) * self.unknown
+            source, shorter = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+            n = 1
+        else:
+            n = self.length + 1
+            probability = (count + self.prior * self.probability[suffix]) / (self.count[history] + self.prior)
+            source, shorter = self.state[history], self.state[suffix]
+        self.length = n
+        seen = count > 0
+        state = shorter.copy()
+        if n < self.order:
+            new = np.flatnonzero(seen)
+            state[new] = self.states + np.arange(len(new))
+            self.failure.append(shorter[new])
+            self.penalty.append(np.log10(self.prior / (count[new] + self.prior)))
+            self.states += len(new)
+        self.arcs.append((source[seen], word[seen], np.log10(probability[seen]), state[seen]))
+        self.state, self.probability, self.count = state, probability, count
+
+    def finish(self) -> None:
+        source, word, self.weight, self.target = (np.concatenate(x) for x in zip(*self.arcs, strict=True))
+        keys = (source.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.weight, self.target = keys[order], self.weight[order], self.target[order]
+        self.fails, self.costs = np.concatenate(self.failure), np.concatenate(self.penalty)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next state and the log10 probability of ``word`` at each state."""
+        log, after = np.zeros(len(state)), np.zeros(len(state), np.int64)
+        left, here, asked = np.arange(len(state)), state, word.astype(np.uint64)
+        while len(left):
+            keys = (here.astype(np.uint64) << np.uint64(32)) | asked
+            at = np.searchsorted(self.keys, keys)
+            found = at < len(self.keys)
+            found[found] = self.keys[at[found]] == keys[found]
+            log[left[found]] += self.weight[at[found]]
+            after[left[found]] = self.target[at[found]]
+            # A word that not even the root knows leads back to the root.
+            lost = ~found & (here == 0)
+            log[left[lost]] += np.log10(self.unknown)
+            on = ~found & ~lost
+            log[left[on]] += self.costs[here[on]]
+            left, here, asked = left[on], self.fails[here[on]], asked[on]
+        return after, log
+
+    def walk(self, words: np.ndarray, heads: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The log10 probability of each text, read from left to right after its begin; all texts move on together."""
+        score = np.zeros(len(heads))
+        order = np.argsort(-lengths, kind="stable")
+        heads, lengths = heads[order], lengths[order]
+        state, _ = self.step(np.zeros(len(heads), np.int64), words[heads])
+        going = np.searchsorted(-lengths, -np.arange(int(lengths.max(initial=1))), side="left")
+        for t in range(1, int(lengths.max(initial=1))):
+            n = going[t]
+            state, log = self.step(state[:n], words[heads[:n] + t])
+            score[order[:n]] += log
+        return score
+
+
 def _walk(order: int, prior: float, tokens: int, types: int) -> Callable:
     """Scores of the texts of one block, from its texts and the answers of all ranges."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(zip(*(table[c].to_pylist() for c in ("order", "range", "data")), strict=True))
         known, counts, which, lengths, ids, no_id, trained = unsqueeze(rows[0][2])
-        heads = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))[:-1]])
-        hashes, first = known[which], np.zeros(len(which), dtype=bool)
-        first[heads] = True
-        counted = np.repeat(trained.astype(bool), lengths)
-        probability = shorter = None
+        lengths = lengths.astype(np.int64)
+        heads = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        hashes, counted = known[which], np.repeat(trained.astype(bool), lengths)
+        automaton = Automaton(order, prior, tokens, types)
+        number = None  # of the n-gram one word shorter that ends at each place
         for n in range(1, order + 1):
             if n == 1:
-                at, place, own = np.arange(len(which)), which, counts.astype(np.int64)
+                at, place, own = np.arange(len(which)), which.astype(np.int64), counts.astype(np.int64)
             else:
                 at, keys = _grams(hashes, heads, n)
                 distinct, place = np.unique(keys, return_inverse=True)
@@ -216,26 +297,28 @@ def _walk(order: int, prior: float, tokens: int, types: int) -> Callable:
                 other, total = unsqueeze(data[:-8])
                 own[base + other.astype(np.int64)] = total
                 base += struct.unpack("<Q", data[-8:])[0]
-            count = np.zeros(len(which), dtype=np.int64)
-            count[at] = own[place]
+            one = np.zeros(len(own), dtype=np.int64)
+            one[place] = at  # where some occurrence of each n-gram ends
             if n == 1:
-                probability = (count + 1) / (tokens + types + 1)
-                base_log, seen = np.log10(probability), count > 0
+                single = own
+                automaton.add(np.arange(len(own)), one, one, own)
             else:
-                history = shorter[at - 1]
-                probability[at] = (count[at] + prior * probability[at]) / (history + prior)
-            shorter = count
-        begins = first
-        log = np.where(begins, 0.0, np.log10(probability))
-        base_log = np.where(begins, 0.0, base_log)
+                automaton.add(which[one], number[one - 1], number[one], own)
+            number = np.zeros(len(which), dtype=np.int64)
+            number[at] = place
+        automaton.finish()
+        begins = np.zeros(len(which), dtype=bool)
+        begins[heads] = True
+        count = single[which]
+        base_log = np.where(begins, 0.0, np.log10((count + 1) * automaton.unknown))
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64(), mask=no_id.astype(bool)),
                 "held_out": pa.array(trained == 0),
-                "n_tokens": pa.array(lengths.astype(np.int64) - 1),
-                "n_known": pa.array(np.add.reduceat((seen & ~begins).astype(np.int64), heads)),
+                "n_tokens": pa.array(lengths - 1),
+                "n_known": pa.array(np.add.reduceat(((count > 0) & ~begins).astype(np.int64), heads)),
                 "base_score": pa.array(np.add.reduceat(base_log, heads)),
-                "score": pa.array(np.add.reduceat(log, heads)),
+                "score": pa.array(automaton.walk(which, heads, lengths)),
             }
         )
 
