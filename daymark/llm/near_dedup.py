@@ -106,11 +106,20 @@ def _sketch(size: int, bands: int, rows: int) -> Callable:
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(x) + len(y)
+    shared = both - len(np.unique(np.concatenate([x, y])))
+    return both > 0 and 100 * shared >= percent * (both - shared)
+
+
 def _confirm(size: int, percent: int) -> Callable:
-    """Rows sorted by (a, slot, b), the hub first with b null: links of each hub."""
+    """Rows sorted by (a, slot, b), the hub first with b null: links of each hub.
+
+    An id with several texts is linked by any of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, hub_set = None, None
+        hub, hub_sets = None, []
         for batch in batches:
             for low, high in slices(batch.column(3)):
                 part = batch.slice(low, high - low)
@@ -119,15 +128,9 @@ def _confirm(size: int, percent: int) -> Callable:
                 rows = zip(*(part.column(i).to_pylist() for i in range(3)), sets, strict=True)
                 for a, slot, b, own in rows:
                     if b is None:
-                        hub, hub_set = (a, slot), own
-                        continue
-                    if hub != (a, slot):
-                        continue
-                    if len(hub_set) + len(own) == 0:
-                        continue
-                    both = len(hub_set) + len(own)
-                    shared = both - len(np.unique(np.concatenate([hub_set, own])))
-                    if 100 * shared >= percent * (both - shared):
+                        hub_sets = [*hub_sets, own] if hub == (a, slot) else [own]
+                        hub = (a, slot)
+                    elif hub == (a, slot) and any(_similar(x, own, percent) for x in hub_sets):
                         links.append((a, b))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"]
@@ -183,14 +186,16 @@ def _exploded(size: int) -> Callable:
                 sets = shingle_sets(batch.column(2)[low:high], size)
                 counts = np.array([len(s) for s in sets], dtype=np.int64)
                 rows = pa.array(np.repeat(np.arange(low, high), counts))
+                sums = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
                         pa.array(np.repeat(counts, counts)),
+                        pa.array(np.repeat(sums, counts).view(np.int64)),
                         pa.array(np.concatenate(sets).view(np.int64)),
                     ],
-                    names=["node", "component", "n", "shingle"],
+                    names=["node", "component", "n", "own", "shingle"],
                 )
 
     return run
@@ -204,12 +209,12 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     """
     rows = nodes.join(texts, "node").select("node", "component", "text")
     rows = stored(
-        map_batches(rows, _exploded(size), "node long, component long, n long, shingle long"), "shingles"
+        map_batches(rows, _exploded(size), "node long, component long, n long, own long, shingle long"), "shingles"
     )
     counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_df"))
     ordered = (
         rows.join(counts, "shingle")
-        .groupBy("node", "component", "n")
+        .groupBy("node", "component", "n", "own")
         .agg(F.sort_array(F.collect_list(F.struct("_df", "shingle"))).alias("_all"))
     )
     probe = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
@@ -232,6 +237,16 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     )
 
 
+def _links_of_ids(sets: DataFrame, classes: DataFrame, content: list[str]) -> DataFrame:
+    """(a, b) that join the classes of an id with several texts."""
+    differ = [F.min(c) != F.max(c) for c in content]
+    several = sets.groupBy("doc_id").agg((differ[0] | differ[1] | differ[2]).alias("_differ")).filter("_differ")
+    held = sets.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", *content)
+    return held.join(classes, content).filter("doc_id != node").select(
+        F.col("node").alias("a"), F.col("doc_id").alias("b")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -251,7 +266,7 @@ def near_duplicates(
 
     Null or empty texts have no shingles and stay alone, as do rows without an
     id, whose component is null and which are kept. Rows that share an id are
-    one document. Other columns are not read. An empty table gives no rows.
+    one document, linked by any of its texts. Other columns are not read. An empty table gives no rows.
     """
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     sets = stored(
@@ -278,7 +293,8 @@ def near_duplicates(
         "candidates",
     )
 
-    links = stored(confirmed(star_pairs(members, percent), texts, words, percent), "links")
+    found = confirmed(star_pairs(members, percent), texts, words, percent)
+    links = stored(found.union(_links_of_ids(linkable, classes, content)), "links")
     trees = components(links)
     rest = stored(unsettled(members, trees), "unsettled")
     if not rest.isEmpty():

@@ -100,3 +100,22 @@ def test_exact_remainder_misses_no_link(spark):
         if i < j and sets[i] != sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
     }
     assert linked and linked <= {tuple(sorted(p)) for p in collected(pairs)}
+
+
+def test_an_id_with_several_texts_is_linked_by_any_of_them(spark):
+    rng = random.Random(9)
+
+    def text(start):
+        return [f"{start}{i}" for i in range(60)]
+
+    def near(words):
+        copy = list(words)
+        copy[rng.randrange(60)] = f"y{rng.randrange(10**6)}"
+        return " ".join(copy)
+
+    a, b, c = text("a"), text("b"), text("c")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (0, " ".join(b))]
+    rows += [(7, " ".join(c)), (8, near(c)), (9, "alone here"), (8, near(a)), (9, None)]
+    assert collected(near_duplicates(documents(spark, rows), words=4)) == brute(rows, 4, 80)
+    many = [(i % 7, near(rng.choice([a, b, c, text("d")]))) for i in range(40)]
+    assert collected(near_duplicates(documents(spark, many), words=4)) == brute(many, 4, 80)
