@@ -4,9 +4,11 @@ States are roles, each as the first line of a turn or a later one. A line shows
 marker ("User:", "### Assistant", ...) or none, its length, its last character and whether it looks like a list
 item or code. Viterbi's path gives roles and turns, which are rendered in one canonical form.
 
-A transcript may be of any length. It is cut into segments; each gives the best score from
-any entering to any leaving state, a small matrix. These are chained for each transcript,
-and then every segment follows its own part of the path. The result is the path of the whole.
+A transcript may be of any length. Its rows are numbered and cut into segments; each gives the best score from
+any entering to any leaving state, a small matrix. The matrices of some segments are multiplied (a sum for each step, the
+best for each choice), the products are chained for each transcript, and what they say is handed back to the
+segments, each of which follows its own part of the path. Turns that cross a border are put together. The result is
+the path of the whole, whatever the size of a segment.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daymark.llm.storage import stored
 from daymark.llm.tasks import let_workers_import, map_batches
 
 ROLES = ("system", "user", "assistant")
@@ -89,29 +92,36 @@ def _steps(model: RoleModel, shown: np.ndarray, begin: np.ndarray) -> tuple[np.n
 
 def segment_matrix(model: RoleModel, lines: list[str]) -> np.ndarray:
     """Best scores from each state before the segment (rows, start last) to each state at its end."""
-    shown = model.lines(lines)
     out = np.full((STATES + 1, STATES + 1), -np.inf)
-    for state in range(STATES + 1):
-        begin = np.full(STATES + 1, -np.inf)
-        begin[state] = 0
-        out[state] = _steps(model, shown, begin)[0]
+    np.fill_diagonal(out, 0.0)
+    for row in model.lines(lines):
+        best = (out[:, :, None] + model.transitions[None, :, :]).max(axis=1) + row
+        out = np.concatenate([best, np.full((STATES + 1, 1), -np.inf)], axis=1)
     return out
 
 
-def chain(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
-    """The states before and at the end of each segment, on the best path through all."""
+def product(matrices: list[np.ndarray]) -> np.ndarray:
+    """Best scores over several segments."""
+    out = matrices[0]
+    for matrix in matrices[1:]:
+        out = (out[:, :, None] + matrix[None, :, :]).max(axis=1)
+    return out
+
+
+def chain(matrices: list[np.ndarray], before: int = START, end: int | None = None) -> list[tuple[int, int]]:
+    """The states before and at the end of each segment, on the best path through all (between two given states)."""
     score = np.full(STATES + 1, -np.inf)
-    score[START] = 0
+    score[before] = 0
     choices = []
     for matrix in matrices:
         ways = score[:, None] + matrix
         choices.append(ways.argmax(axis=0))
         score = ways.max(axis=0)
-    ends, state = [], int(score.argmax())
+    ends, state = [], int(score.argmax()) if end is None else end
     for choice in reversed(choices):
-        before = int(choice[state])
-        ends.append((before, state))
-        state = before
+        entered = int(choice[state])
+        ends.append((entered, state))
+        state = entered
     return ends[::-1]
 
 
@@ -145,34 +155,52 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-TIES = 256  # rows of one place from which they are dealt to slices
+SLICE_DIGITS = 2  # hexadecimal: 256 slices of a place
+TURNS_PER_BLOCK = 1024
+SEGMENTS_PER_GROUP = 64
 PLACE = ("conv_id", "turn", "slice")
 
 
 def distinct_rows(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, slice, role, text: rows equal in conv_id, turn, role and text once, a null turn as -1.
+    """conv_id, turn, slice, tie, role, text: rows equal in conv_id, turn, role and text once, a null turn as -1.
 
-    Rows of one place stay and follow each other in the order of their texts. Where there are more than ``TIES`` of them, they are dealt
-    to slices by a hash of their content, and slices follow each other.
+    Rows of one place follow each other in the order of ``tie``, a hash of role and text whose first digits
+    are the slice. So any number of rows may share a place, and copies change nothing.
     """
     turns = turns.select("conv_id", F.coalesce("turn", F.lit(-1).cast("long")).alias("turn"), "role", "text")
-    many = turns.groupBy("conv_id", "turn").count().filter(F.col("count") > TIES)
-    many = many.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.ceil(F.col("count") / TIES).alias("_slices"))
-    rows = turns.dropDuplicates(["conv_id", "turn", "role", "text"])
-    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("turn") == F.col("_turn"))
-    # At most one row in TIES of the table.
-    dealt = rows.join(F.broadcast(many), same, "left")
-    slice_ = F.coalesce(F.pmod(F.xxhash64("text", "role"), F.col("_slices")), F.lit(0).cast("long"))
-    return dealt.select("conv_id", "turn", slice_.alias("slice"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    tie = F.md5(F.to_json(F.struct("text", "role")).cast("binary"))
+    rows = turns.dropDuplicates(["conv_id", "turn", "role", "text"]).withColumn("tie", tie)
+    return rows.select(
+        "conv_id", "turn", F.substring("tie", 1, SLICE_DIGITS).alias("slice"), "tie", "role", F.coalesce("text", F.lit("")).alias("text")
+    )
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with their number in the transcript, from 0, counted by places and by blocks of turns."""
+    keyed = rows.withColumns({"_conv": F.struct("conv_id"), "_block": F.floor(F.col("turn") / TURNS_PER_BLOCK)})
+    place = ["_conv", "_block", "turn", "slice"]
+    keyed = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy(*place).orderBy("tie")) - 1)
+
+    def before(*keys: str, order: list[str]) -> F.Column:
+        earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+
+    places = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = places.groupBy("_conv", "_block").agg(F.sum("_n").alias("_n"))
+    from_block = blocks.select("_conv", "_block", before("_conv", order=["_block"]).alias("_from"))
+    starts = places.withColumn("_at", before("_conv", "_block", order=["turn", "slice"])).drop("_n")
+    starts = starts.join(from_block, ["_conv", "_block"])
+    row = F.col("_from") + F.col("_at") + F.col("_nth")
+    return keyed.join(starts, place).select("conv_id", "turn", "text", row.alias("row"))
 
 
 def _following(known: DataFrame) -> DataFrame:
     """_before, role and count: roles of rows and of those before them, null at a start or after a gap."""
-    in_slice = Window.partitionBy(*PLACE).orderBy("text", "role")
+    in_slice = Window.partitionBy(*PLACE).orderBy("tie")
     slices = Window.partitionBy("conv_id", "turn").orderBy("slice")
     inner = known.withColumn("_before", F.lag("role").over(in_slice)).filter("_before IS NOT NULL")
     ends = known.groupBy(*PLACE).agg(
-        F.min(F.struct("text", "role"))["role"].alias("role"), F.max(F.struct("text", "role"))["role"].alias("_end")
+        F.min_by("role", "tie").alias("role"), F.max_by("role", "tie").alias("_end")
     )
     chained = ends.withColumn("_within", F.lag("_end").over(slices))
     last = ends.groupBy("conv_id", "turn").agg(F.max_by("_end", "slice").alias("_earlier"))
@@ -222,59 +250,72 @@ def train(turns: DataFrame, usable: F.Column | None = None) -> RoleModel:
 
 
 def _lines(table: pa.Table) -> tuple[list[tuple[int, int]], list[str]]:
-    rows = sorted(zip(*(table[c].to_pylist() for c in ("turn", "slice", "text")), strict=True))
+    rows = sorted(zip(*(table[c].to_pylist() for c in ("row", "turn", "text")), strict=True))
     places, lines = [], []
-    for turn, _, text in rows:
+    for _, turn, text in rows:
         for i, line in enumerate(text.split("\n")):
             places.append((turn, i))
             lines.append(line)
     return places, lines
 
 
+def _decoded(matrices: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(m).reshape(STATES + 1, STATES + 1) for m in matrices]
+
+
+def _one_matrix(table: pa.Table, key: str, matrix: np.ndarray) -> pa.Table:
+    columns = {"conv_id": table["conv_id"][:1], key: table[key][:1], "matrix": pa.array([matrix.tobytes()], pa.binary())}
+    return pa.table(columns)
+
+
 def _matrix(model: RoleModel) -> Callable:
-    def run(table: pa.Table) -> pa.Table:
-        matrix = segment_matrix(model, _lines(table)[1])
-        return pa.table(
-            {
-                "conv_id": table["conv_id"][:1],
-                "segment": table["segment"][:1],
-                "part": table["part"][:1],
-                "matrix": pa.array([matrix.tobytes()], pa.binary()),
-            }
-        )
+    return lambda table: _one_matrix(table, "segment", segment_matrix(model, _lines(table)[1]))
 
-    return run
+
+def _in_order(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
+    rows = sorted(zip(table["segment"].to_pylist(), table["matrix"].to_pylist(), strict=True))
+    return [s for s, _ in rows], _decoded([m for _, m in rows])
+
+
+def _multiply(table: pa.Table) -> pa.Table:
+    return _one_matrix(table, "group", product(_in_order(table)[1]))
+
+
+def _ends(conv: int | None, name: str, places: list[int], ends: list[tuple[int, int]]) -> dict:
+    return {
+        "conv_id": pa.array([conv] * len(places), pa.int64()),
+        name: pa.array(places, pa.int64()),
+        "before": pa.array([e[0] for e in ends], pa.int32()),
+        "end": pa.array([e[1] for e in ends], pa.int32()),
+    }
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (conv_id, segment, part): the states around each of them."""
-
-    def ended(conv: int | None, rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        shape = (STATES + 1, STATES + 1)
-        ends = chain([np.frombuffer(m).reshape(shape) for _, _, m in rows])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([conv] * len(rows), pa.int64()),
-                pa.array([s for s, _, _ in rows], pa.int64()),
-                pa.array([p for _, p, _ in rows], pa.int64()),
-                pa.array([e[0] for e in ends], pa.int32()),
-                pa.array([e[1] for e in ends], pa.int32()),
-            ],
-            names=["conv_id", "segment", "part", "before", "end"],
-        )
+    """Products sorted by (conv_id, group): the states around each of them."""
+
+    def ended(conv: int | None, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        found = chain(_decoded([m for _, m in rows]))
+        return pa.RecordBatch.from_pydict(_ends(conv, "group", [g for g, _ in rows], found))
 
     conv, rows = None, []
     for batch in batches:
-        for own, segment, part, matrix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for own, group, matrix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if rows and own != conv:
                 yield ended(conv, rows)
                 rows = []
             conv = own
-            rows.append((segment, part, matrix))
+            rows.append((group, matrix))
     if rows:
         yield ended(conv, rows)
 
 
+def _inside(table: pa.Table, around: pa.Table) -> pa.Table:
+    """The states around each segment of a group, from those around the group."""
+    segments, matrices = _in_order(table)
+    found = chain(matrices, around["before"][0].as_py(), around["end"][0].as_py())
+    return pa.table(_ends(table["conv_id"][0].as_py(), "segment", segments, found))
+
+
 def render(role: str, lines: list[str]) -> str:
     """The canonical form of a turn."""
     body = "\n".join([marker(lines[0])[1], *lines[1:]]).strip()
@@ -282,59 +323,83 @@ def render(role: str, lines: list[str]) -> str:
 
 
 def _follow(model: RoleModel) -> Callable:
+    """The turns of a segment. What may go on over a border is ``open`` and has its bare lines: ``nth`` is 0 for what
+    continues the turn before, and else counts the turns that begin in the segment."""
+
     def run(table: pa.Table, around: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if table.num_rows and around.num_rows:
-            places, lines = _lines(table)
-            states = path(model, lines, around["before"][0].as_py(), around["end"][0].as_py())
-            heads = [i for i, s in enumerate(states) if i == 0 or s % 2 == 0]
-            for low, high in zip(heads, [*heads[1:], len(lines)], strict=True):
-                role = ROLES[states[low] // 2]
-                goes_on = states[low] % 2 == 1
-                out.append((*places[low], role, goes_on, render(role, lines[low:high])))
-        columns = list(zip(*out, strict=True)) or [[]] * 5
-        conv = table["conv_id"][0].as_py() if table.num_rows else None
-        types = (pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.string())
-        return pa.table(
-            [pa.array([conv] * len(out), pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
-            names=["conv_id", "turn", "line", "role", "goes_on", "rendered"],
-        )
+        places, lines = _lines(table)
+        states = path(model, lines, around["before"][0].as_py(), around["end"][0].as_py())
+        heads = [i for i, s in enumerate(states) if s % 2 == 0]
+        begins = heads if heads[:1] == [0] else [0, *heads]
+        out = []
+        for k, (low, high) in enumerate(zip(begins, [*begins[1:], len(lines)], strict=True)):
+            nth = k + (begins is heads)
+            last, role = high == len(lines), ROLES[states[low] // 2]
+            text = "\n".join(lines[low:high]) if last or nth == 0 else render(role, lines[low:high])
+            out.append((nth, last or nth == 0, *places[low], role, text))
+        names = ("nth", "open", "turn", "line", "role", "text")
+        types = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.string())
+        n, columns = len(out), list(zip(*out, strict=True))
+        return pa.table({
+            "conv_id": pa.array([table["conv_id"][0].as_py()] * n, pa.int64()),
+            "segment": pa.array([table["segment"][0].as_py()] * n, pa.int64()),
+            **{name: pa.array(c, t) for name, c, t in zip(names, columns, types, strict=True)},
+        })
 
     return run
 
 
-def format_chats(turns: DataFrame, model: RoleModel, turns_per_segment: int = 256) -> DataFrame:
-    """conv_id, turn, line, role, goes_on, rendered: one row for each turn that the model finds.
+def _join_parts(table: pa.Table) -> pa.Table:
+    """One turn from its parts in one or more segments."""
+    names = ("segment", "turn", "line", "role", "text")
+    rows = sorted(zip(*(table[c].to_pylist() for c in names), strict=True))
+    _, turn, line, role, _ = rows[0]
+    lines = [x for part in rows for x in part[4].split("\n")]
+    return pa.table({
+        "conv_id": table["conv_id"][:1],
+        "turn": pa.array([turn], pa.int64()),
+        "line": pa.array([line], pa.int32()),
+        "role": pa.array([role], pa.string()),
+        "rendered": pa.array([render(role, lines)], pa.string()),
+    })
+
+
+def format_chats(turns: DataFrame, model: RoleModel, rows_per_segment: int = 256) -> DataFrame:
+    """conv_id, turn, line, role, rendered: one row for each turn that the model finds.
 
     ``turns`` (conv_id, turn, text) are the parts of transcripts in order; where parts begin tells the model
-    nothing. ``turn`` and ``line`` are the place of a found turn's first line. ``goes_on`` marks what continues the turn before it
-    over the border of a segment. Null texts count as an empty line, rows without a conv_id as one transcript, a null turn as -1;
-    rows equal in conv_id, turn, text and role (if there is one) count once, others of one place follow each other. Other columns are not
-    read, an empty table gives no rows.
+    nothing. ``turn`` and ``line`` are the place of a found turn's first line. Null texts count as an empty line, rows without a
+    conv_id as one transcript, a null turn as -1; rows equal in conv_id, turn, text and role (if there is one) count once, others
+    of one place follow each other in the order of a hash. Other columns are not read, an empty table gives no rows.
     """
     role = F.col("role") if "role" in turns.columns else F.lit(None).cast("string")
-    turns = turns.select("conv_id", "turn", role.alias("role"), "text")
-    segment = F.floor(F.coalesce("turn", F.lit(-1).cast("long")) / turns_per_segment)
-    # Segments with many rows are cut at each turn and slice.
-    full = turns.groupBy("conv_id", segment.alias("_segment")).count().filter(F.col("count") > 16 * turns_per_segment)
-    full = full.select(F.col("conv_id").alias("_conv"), "_segment", F.lit(True).alias("_full"))
-    rows = distinct_rows(turns).withColumn("segment", segment)
-    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("segment") == F.col("_segment"))
-    cut = F.pmod("turn", F.lit(turns_per_segment)) * F.lit(1 << 40) + F.col("slice")
-    rows = rows.join(F.broadcast(full), same, "left").select(
-        "conv_id", "turn", "text", "segment", F.when(F.col("_full"), cut).otherwise(F.lit(0).cast("long")).alias("part"), "slice"
-    )
+    rows = numbered(distinct_rows(turns.select("conv_id", "turn", role.alias("role"), "text")))
+    rows = stored(rows.withColumn("segment", F.floor(F.col("row") / rows_per_segment)), "rows")
     let_workers_import(turns.sparkSession)
-    keys = ("conv_id", "segment", "part")
-    matrices = rows.groupBy(*keys).applyInArrow(
-        _matrix(model), "conv_id long, segment long, part long, matrix binary"
+    matrices = rows.groupBy("conv_id", "segment").applyInArrow(
+        _matrix(model), "conv_id long, segment long, matrix binary"
+    )
+    matrices = stored(matrices.withColumn("group", F.floor(F.col("segment") / SEGMENTS_PER_GROUP)), "matrices")
+    products = matrices.groupBy("conv_id", "group").applyInArrow(_multiply, "conv_id long, group long, matrix binary")
+    in_order = products.repartition("conv_id").sortWithinPartitions("conv_id", "group")
+    states = "before int, end int"
+    around = map_batches(in_order, _chain, f"conv_id long, group long, {states}")
+    around = around.withColumnsRenamed({"conv_id": "conv", "group": "own"})
+    segments = matrices.groupBy("conv_id", "group").cogroup(around.groupBy("conv", "own"))
+    ends = segments.applyInArrow(_inside, f"conv_id long, segment long, {states}")
+    ends = ends.withColumnsRenamed({"conv_id": "conv", "segment": "own"})
+    parts = rows.groupBy("conv_id", "segment").cogroup(ends.groupBy("conv", "own")).applyInArrow(
+        _follow(model), "conv_id long, segment long, nth long, open boolean, turn long, line int, role string, text string"
     )
-    ordered = matrices.repartition("conv_id").sortWithinPartitions(*keys)
-    around = map_batches(ordered, _chain, "conv_id long, segment long, part long, before int, end int")
-    return (
-        rows.groupBy(*keys)
-        .cogroup(around.groupBy(*keys))
-        .applyInArrow(
-            _follow(model), "conv_id long, turn long, line int, role string, goes_on boolean, rendered string"
-        )
+    parts = stored(parts, "parts")
+    whole = parts.filter("NOT open").select("conv_id", "turn", "line", "role", F.col("text").alias("rendered"))
+    # Turns are counted over the segments of a transcript, of which there is one row each.
+    crossing = parts.filter("open").withColumn("_conv", F.struct("conv_id"))
+    begun = crossing.groupBy("_conv", "segment").agg(F.max("nth").alias("_n"))
+    earlier = Window.partitionBy("_conv").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    begun = begun.select("_conv", "segment", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from"))
+    crossing = crossing.join(begun, ["_conv", "segment"]).withColumn("head", F.col("_from") + F.col("nth"))
+    joined = crossing.drop("_conv").groupBy("conv_id", "head").applyInArrow(
+        _join_parts, "conv_id long, turn long, line int, role string, rendered string"
     )
+    return whole.unionByName(joined)
