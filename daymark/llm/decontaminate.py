@@ -9,7 +9,6 @@ all documents.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ from daymark.llm.storage import stored
 from daymark.llm.tasks import map_batches
 from daymark.llm.text import LETTER_OR_DIGIT, Words, find_words, slices, window_hashes
 
-MAX_BLOCK_CHARS = 32_000_000
+MAX_BLOCK_CHARS = 4_000_000  # some 20 MB of windows on the driver and in each worker
 FILTER_BITS = 20
 
 FOUND = "struct<n_words: long, hits: array<int>, items: array<long>>"
@@ -31,32 +30,34 @@ FOUND_TYPE = pa.struct(
 
 
 class WindowSet:
-    """The windows of some items: ``size`` consecutive words, or all words of a shorter item."""
+    """The windows of some items: ``size`` consecutive words, or all words of a shorter item.
+
+    Held as arrays: the hash of each window, in order, and where it begins among the words of all items.
+    """
 
     def __init__(self, items: list[tuple[int | None, str | None]], size: int):
-        owners: dict[int, dict[bytes, set]] = defaultdict(lambda: defaultdict(set))
-        words = find_words(pa.array([text for _, text in items], pa.string()), LETTER_OR_DIGIT)
-        for (item, _), low, high in zip(items, words.first[:-1], words.first[1:], strict=True):
-            length = min(size, int(high - low))
-            for i in range(low, high - length + 1) if length else ():
-                owners[length][_joined(words, i, length)].add(item)
+        self.words = find_words(pa.array([text for _, text in items], pa.string()), LETTER_OR_DIGIT)
+        self.ids = [item for item, _ in items]
+        first, counts = self.words.first[:-1], self.words.counts()
+        hashes, lengths = self.words.hashes(), np.minimum(size, counts)
         self.by_length = {}
-        for length, windows in owners.items():
-            texts = sorted(windows)
-            spelled = find_words(pa.array([t.decode() for t in texts]), LETTER_OR_DIGIT)
-            hashes = window_hashes(spelled.hashes(), length)[spelled.first[:-1]]
-            order = np.argsort(hashes, kind="stable")
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            of = np.flatnonzero(lengths == length)
+            n = counts[of] - length + 1
+            starts = np.repeat(first[of], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            keys = window_hashes(hashes, length)[starts]
+            order = np.argsort(keys, kind="stable")
             near = np.zeros(1 << FILTER_BITS, dtype=bool)
-            near[hashes >> np.uint64(64 - FILTER_BITS)] = True
-            ids = [sorted(x for x in windows[texts[i]] if x is not None) for i in order]
-            self.by_length[length] = (hashes[order], near, [texts[i] for i in order], ids)
+            near[keys >> np.uint64(64 - FILTER_BITS)] = True
+            owners = np.repeat(of, n)[order].astype(np.int32)
+            self.by_length[length] = (keys[order], near, starts[order].astype(np.int32), owners)
 
     def find(self, words: Words) -> list[tuple[int, int, list[int]]]:
         """(first word, length, items) of each window that occurs, in no order."""
         hashes = words.hashes()
         last = np.repeat(words.first[1:], words.counts())
         found = []
-        for length, (known, near, texts, ids) in self.by_length.items():
+        for length, (known, near, starts, owners) in self.by_length.items():
             windows = window_hashes(hashes, length)
             at = np.flatnonzero(near[windows >> np.uint64(64 - FILTER_BITS)])
             at = at[at + length <= last[at]]
@@ -66,7 +67,9 @@ class WindowSet:
                 if a == b:
                     continue
                 spelled = _joined(words, i, length)
-                found.extend((i, length, ids[k]) for k in range(a, b) if texts[k] == spelled)
+                same = {int(owners[k]) for k in range(a, b) if _joined(self.words, int(starts[k]), length) == spelled}
+                if same:
+                    found.append((i, length, [self.ids[k] for k in same if self.ids[k] is not None]))
         return found
 
 
@@ -159,7 +162,7 @@ def find_benchmark(
     hits nothing.
     """
     docs = docs.drop(result)
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text"))
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // max_block_chars))
     columns = [f"`{c.replace('`', '``')}` {t}" for c, t in docs.dtypes]
