@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,14 @@ from daymark.llm.terms import encoded_words, text_bytes
 from daymark.llm.text import NOT_SPACE, slices, text_offsets
 
 FILTERS = "ABCDE"
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 6 << 20
+IDS_AT_ONCE = 1 << 20
 
 ROWS = "doc_ids array<bigint>, sources array<string>, hashes array<binary>, n_upper array<bigint>, n_chars array<bigint>, signs array<boolean>"
-ENCODED = f"shard bigint, {ROWS}, words array<binary>, indptr array<bigint>, codes array<int>, counts array<int>"
-MATRIX = f"shard bigint, {ROWS}, indptr array<bigint>, columns array<bigint>, counts array<int>"
+# Codes and counts are compressed 32-bit whole numbers; those of the matrix are plain little-endian ones.
+ENCODED = f"shard bigint, {ROWS}, words array<binary>, indptr binary, codes binary, counts binary"
+ANSWER = "asking bigint, codes binary, ids binary"
+MATRIX = f"shard bigint, {ROWS}, indptr binary, columns binary, counts binary"
 STATISTICS = "doc_id bigint, source string, hash binary, n_words bigint, n_distinct bigint, n_upper bigint, n_chars bigint, sign boolean"
 
 UPPER = np.zeros(256, dtype=bool)
@@ -44,6 +48,15 @@ SIGN = np.zeros(256, dtype=bool)
 SIGN[list(b"#$%&*|")] = True
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(pa.py_buffer(np.ascontiguousarray(values)), codec="zstd", asbytes=True)
+
+
+def _unpacked(values: pa.Scalar, n: int, kind: type) -> np.ndarray:
+    size = n * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(values.as_buffer(), size, codec="zstd") if size else b"", dtype=kind)
+
+
 def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -74,9 +87,9 @@ def _shard(batch: pa.RecordBatch, number: int) -> pa.RecordBatch:
         "n_chars": _one_list(pa.array(_per_text(FIRST_OF_CHAR[data], offsets))),
         "signs": _one_list(pa.array(_per_text(SIGN[data], offsets) > 0)),
         "words": _one_list(words),
-        "indptr": _one_list(pa.array(np.searchsorted(cells, np.arange(len(texts) + 1) * width))),
-        "codes": _one_list(pa.array((cells % width).astype(np.int32))),
-        "counts": _one_list(pa.array(counts.astype(np.int32))),
+        "indptr": pa.array([np.searchsorted(cells, np.arange(len(texts) + 1) * width).astype("<i8").tobytes()]),
+        "codes": pa.array([_packed((cells % width).astype("<i4"))]),
+        "counts": pa.array([_packed(counts.astype("<i4"))]),
     }
     return pa.RecordBatch.from_pydict(fields)
 
@@ -91,15 +104,59 @@ def _shards(limit: int):
     return shards
 
 
-def _with_word_ids(shard: pa.Table, ids: pa.Table) -> pa.Table:
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of words, which come in order: each word that differs from the one before is a new one.
+
+    The ids go back to the shards that asked, some of them at once.
+    """
+    last, number = None, TaskContext.get().partitionId() << 40
+    held, size = [], 0
+    for batch in batches:
+        words = batch.column("word")
+        if len(words) == 0:
+            continue
+        new = np.ones(len(words), dtype=np.int64)
+        new[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+        new[0] = words[0] != last
+        ids = number + np.cumsum(new)
+        last, number = words[-1], int(ids[-1])
+        held.append((batch.column("shard").to_numpy(), batch.column("code").to_numpy(), ids))
+        size += len(words)
+        if size >= IDS_AT_ONCE:
+            yield _answers(held)
+            held, size = [], 0
+    if held:
+        yield _answers(held)
+
+
+def _answers(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    shards, codes, ids = (np.concatenate(column) for column in zip(*held, strict=True))
+    order = np.argsort(shards, kind="stable")
+    asking, first = np.unique(shards[order], return_index=True)
+    parts = np.split(order, first[1:])
+    return pa.RecordBatch.from_pydict({
+        "asking": pa.array(asking),
+        "codes": pa.array([_packed(codes[p].astype("<i4")) + len(p).to_bytes(8, "little") for p in parts]),
+        "ids": pa.array([_packed(ids[p].astype("<i8")) for p in parts]),
+    })
+
+
+def _with_word_ids(shard: pa.Table, answers: pa.Table) -> pa.Table:
     """The shard with ids of the whole table's dictionary as columns of its matrix."""
-    of_code = np.zeros(ids.num_rows, dtype=np.int64)
-    of_code[ids.column("code").to_numpy()] = ids.column("id").to_numpy()
-    codes = shard.column("codes").combine_chunks().flatten().to_numpy()
-    columns = pa.array(of_code[codes], pa.int64())
-    kept = shard.drop_columns(["words", "codes"])
-    place = kept.schema.get_field_index("counts")
-    return kept.add_column(place, "columns", _one_list(columns))
+    shard = shard.combine_chunks()
+    indptr = np.frombuffer(shard.column("indptr")[0].as_buffer(), dtype="<i8")
+    n = int(indptr[-1])
+    codes = _unpacked(shard.column("codes")[0], n, "<i4")
+    of_code = np.zeros(int(codes.max(initial=-1)) + 1, dtype="<i8")
+    for code, ids in zip(answers.column("codes"), answers.column("ids"), strict=True):
+        raw = code.as_buffer()
+        size = int.from_bytes(raw.to_pybytes()[-8:], "little")
+        at = np.frombuffer(pa.decompress(raw.slice(0, raw.size - 8), 4 * size, codec="zstd"), dtype="<i4")
+        of_code[at] = _unpacked(ids, size, "<i8")
+    columns = pa.array([of_code[codes].tobytes()])
+    counts = pa.array([_unpacked(shard.column("counts")[0], n, "<i4").tobytes()])
+    kept = shard.drop_columns(["codes", "counts"])
+    return kept.append_column("columns", columns).append_column("counts", counts)
 
 
 def term_matrix(docs: DataFrame) -> DataFrame:
@@ -107,8 +164,13 @@ def term_matrix(docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id, text and source. Row i of a shard has the columns
     ``columns[indptr[i]:indptr[i + 1]]``, ids of words that are the same in all
-    shards, and the values ``counts`` at the same places. A shard holds about
+    shards, and the values ``counts`` at the same places; these are 64-bit,
+    64-bit and 32-bit little-endian whole numbers. A shard holds about
     ``SHARD_BYTES`` of text, or one longer text.
+
+    A shard asks once for each of its words, so that no word has more rows than
+    there are shards. One exchange brings equal words together, and a second
+    one takes their ids back.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
@@ -119,29 +181,33 @@ def term_matrix(docs: DataFrame) -> DataFrame:
     )
     shards = stored(map_batches(rows, _shards(SHARD_BYTES), ENCODED), "shards")
     asked = shards.select("shard", F.posexplode("words").alias("code", "word"))
-    # A shard asks once for each word, so that no word has more rows than there are shards.
-    dictionary = stored(asked.select("word").distinct().withColumn("id", F.monotonically_increasing_id()), "words")
-    ids = asked.join(dictionary, "word").select(F.col("shard").alias("asking"), "code", "id")
+    in_order = asked.repartition("word").sortWithinPartitions("word")
+    answers = map_batches(in_order, _numbered, ANSWER)
     let_workers_import(docs.sparkSession)
-    return shards.groupBy("shard").cogroup(ids.groupBy("asking")).applyInArrow(_with_word_ids, MATRIX)
+    plain = shards.drop("words").groupBy("shard")
+    return plain.cogroup(answers.groupBy("asking")).applyInArrow(_with_word_ids, MATRIX)
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            column = {name: batch.column(name).slice(i, 1).flatten() for name in batch.schema.names if name != "shard"}
-            indptr = column["indptr"].to_numpy()
-            sums = np.zeros(int(indptr[-1]) + 1, dtype=np.int64)
-            np.cumsum(column["counts"].to_numpy(), out=sums[1:])
+            indptr = np.frombuffer(batch.column("indptr")[i].as_buffer(), dtype="<i8")
+            counts = np.frombuffer(batch.column("counts")[i].as_buffer(), dtype="<i4")
+            sums = np.zeros(len(counts) + 1, dtype=np.int64)
+            np.cumsum(counts, out=sums[1:])
+
+            def of_rows(name: str, batch=batch, i=i) -> pa.Array:
+                return batch.column(name).slice(i, 1).flatten()
+
             yield pa.RecordBatch.from_pydict({
-                "doc_id": column["doc_ids"],
-                "source": column["sources"],
-                "hash": column["hashes"],
+                "doc_id": of_rows("doc_ids"),
+                "source": of_rows("sources"),
+                "hash": of_rows("hashes"),
                 "n_words": pa.array(np.diff(sums[indptr])),
                 "n_distinct": pa.array(np.diff(indptr)),
-                "n_upper": column["n_upper"],
-                "n_chars": column["n_chars"],
-                "sign": column["signs"],
+                "n_upper": of_rows("n_upper"),
+                "n_chars": of_rows("n_chars"),
+                "sign": of_rows("signs"),
             })
 
 

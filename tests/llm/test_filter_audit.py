@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from daymark.llm import filter_audit
 from daymark.llm.filter_audit import audit, document_statistics, term_matrix
 from tests.llm.odd import CLASHING, odd_rows
@@ -88,9 +90,11 @@ def test_matrix_has_one_id_for_a_word_in_all_shards(spark, monkeypatch):
     assert len(shards) > 8
     seen = {}
     for shard in shards:
+        indptr, columns = (np.frombuffer(x, dtype="<i8") for x in (shard.indptr, shard.columns))
+        counts = np.frombuffer(shard.counts, dtype="<i4")
         for k, doc in enumerate(shard.doc_ids):
-            low, high = shard.indptr[k], shard.indptr[k + 1]
-            row = dict(zip(shard.columns[low:high], shard.counts[low:high], strict=True))
+            low, high = indptr[k], indptr[k + 1]
+            row = dict(zip(columns[low:high].tolist(), counts[low:high].tolist(), strict=True))
             expected = Counter(f"w{j % 7}" for j in range(doc))
             assert sorted(row.values()) == sorted(expected.values())
             seen[doc] = row
