@@ -13,9 +13,12 @@ import os
 import statistics
 import time
 
-from daymark.plans.queries import QUERIES
+from daymark.plans.queries import QUERIES as LABEL_QUERIES
+from daymark.plans.study import QUERIES as STUDY_QUERIES
 from daymark.session import local_session
 
+QUERIES = LABEL_QUERIES | STUDY_QUERIES
+
 HEADLINE = [
     "patient_day",
     "sic_labels",
@@ -41,6 +44,12 @@ HEADLINE = [
     "gbt",
     "model_evaluation",
     "permutation_importance",
+    "preceding_24_hours",
+    "labels_after_new_days",
+    "sic_labels_by_date",
+    "fairness_intervals",
+    "out_of_fold_rows",
+    "free_of_dic",
 ]
 
 

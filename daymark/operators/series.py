@@ -6,15 +6,15 @@ the step, and the calendar bounds a stay.
 
 A table with repeated days, copied rows or missing ids can hold a stay, or a
 day of one, that is far too big for one task. Without ``unique_days`` every stay
-therefore takes a way on which no window holds more than a slice of a day, the
-slices of a day, or the days of a stay:
+therefore takes a way on which no window holds more than a slice of a day, or
+one row for each slice of a stay's days:
 
 * equal rows are one row with a count, combined before the shuffle. Which of them
   comes first makes no difference;
 * rows of a day stand in the order of a hash of their content (or of the ``ties``
   columns), so the result does not depend on partitions or on a rerun;
-* the first digits of that hash are the slice. Each slice and each day sends its
-  first (or last) few rows to the ones before (or after) it.
+* the first digits of that hash are the slice. Each slice sends its first (or
+  last) few rows to the slices before (or after) it, in its own day or the next.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from daymark.functions.keys import DAY, STAY
 
@@ -134,32 +135,23 @@ def _with_rows_beyond(days: DataFrame, reach: int, forward: bool, name: str) ->
     def order(column: str) -> Column:
         return F.asc(column) if forward else F.desc(column)
 
-    def following(column: Column, by: str, *keys: str) -> Column:
-        rows = Window.partitionBy(*keys).orderBy(order(by)).rowsBetween(1, reach)
-        return F.slice(F.flatten(F.collect_list(column).over(rows)), 1, reach)
-
-    edge = F.min_by if forward else F.max_by
-    own = F.array_repeat(F.col("_here"), F.least("_copies", F.lit(reach)).cast("int"))
-    days = days.withColumns({"_own": own, "_near": following(own, "_tie", *SLICED_DAY)})
-
     def first_rows(own: Column, near: Column) -> Column:
         return F.slice(F.concat(own, near), 1, reach)
 
-    slices = days.groupBy(*SLICED_DAY).agg(
-        edge(first_rows(F.col("_own"), F.col("_near")), "_tie").alias("_first")
-    )
-    slices = slices.withColumn("_next_slices", following(F.col("_first"), "_slice", "_stay", "_day"))
-    per_day = slices.groupBy("_stay", "_day").agg(
-        edge(first_rows(F.col("_first"), F.col("_next_slices")), "_slice").alias("_first")
-    )
-    per_day = per_day.select("_stay", "_day", following(F.col("_first"), "_day", "_stay").alias("_next_days"))
-    beyond = slices.join(per_day, ["_stay", "_day"]).select(
-        *SLICED_DAY, first_rows(F.col("_next_slices"), F.col("_next_days")).alias("_beyond")
+    def following(column: Column, rows: WindowSpec) -> Column:
+        return F.slice(F.flatten(F.collect_list(column).over(rows.rowsBetween(1, reach))), 1, reach)
+
+    in_slice = Window.partitionBy(*SLICED_DAY).orderBy(order("_tie"))
+    own = F.array_repeat(F.col("_here"), F.least("_copies", F.lit(reach)).cast("int"))
+    days = days.withColumn("_own", own).withColumns(
+        {"_near": following(F.col("_own"), in_slice), "_nth": F.row_number().over(in_slice)}
     )
+    # The first row of a slice speaks for it; the calendar and the digits bound the slices of a stay.
+    slices = days.filter("_nth = 1").select(*SLICED_DAY, first_rows(F.col("_own"), F.col("_near")).alias("_first"))
+    in_stay = Window.partitionBy("_stay").orderBy(order("_day"), order("_slice"))
+    beyond = slices.select(*SLICED_DAY, following(F.col("_first"), in_stay).alias("_beyond"))
     days = days.join(beyond, SLICED_DAY)
-    return days.withColumn(name, first_rows(F.col("_near"), F.col("_beyond"))).drop(
-        "_own", "_near", "_beyond"
-    )
+    return days.withColumn(name, first_rows(F.col("_near"), F.col("_beyond"))).drop("_own", "_near", "_nth", "_beyond")
 
 
 def _one_row_per_copy(rows: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ make no use of that: they go the way that holds for stays of any size.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -423,21 +425,30 @@ def model_rows(spark, folder):
 
 
 def _model_scores(spark, folder):
-    """Predictions of both models for both tasks, with a group of subjects for each row."""
-    parts = []
-    for task, rows_of in TASKS.items():
-        rows = rows_of(spark, folder)
-        for name, fit in FITS.items():
-            parts.append(
-                _predicted(rows, fit).select(
-                    F.lit(task).alias("task"),
-                    F.lit(name).alias("model"),
-                    "split",
-                    (F.col("subject_id") % 4).cast("int").alias("grp"),
-                    "label",
-                    "score",
-                )
-            )
+    """Predictions of both models for both tasks, with a group of subjects for each row.
+
+    The fits run side by side: each is a chain of short jobs that leaves most cores idle.
+    """
+
+    def scores(task, rows, name):
+        return _predicted(rows, FITS[name]).select(
+            F.lit(task).alias("task"),
+            F.lit(name).alias("model"),
+            "split",
+            (F.col("subject_id") % 4).cast("int").alias("grp"),
+            "label",
+            "score",
+        )
+
+    with ThreadPoolExecutor(len(TASKS) * len(FITS)) as pool:
+
+        def at_once(function, arguments):
+            task = inheritable_thread_target(spark)(function)
+            return list(pool.map(lambda given: task(*given), arguments))
+
+        tables = at_once(lambda name: TASKS[name](spark, folder), [(name,) for name in TASKS])
+        rows = dict(zip(TASKS, tables, strict=True))
+        parts = at_once(scores, [(task, rows[task], name) for task in TASKS for name in FITS])
     return cut_lineage(reduce(DataFrame.unionByName, parts))
 
 

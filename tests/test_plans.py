@@ -50,18 +50,32 @@ def test_columns_and_filters_reach_the_scan(stored):
     assert "EqualTo(subject_id,3)" in later
 
 
-def test_ranking_exchanges_distinct_scores_by_level_once(spark):
-    from daymark.plans.queries import scored_days
-
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan then shows reuse
+def without_adaptive_execution(spark, df):
+    """The plan as it is before stages run, which shows what is reused."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = plan_of(evaluate.auroc(scored_days(spark, SMALL)))
+        return plan_of(df())
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_ranking_exchanges_distinct_scores_by_level_once(spark):
+    from daymark.plans.queries import scored_days
+
+    plan = without_adaptive_execution(spark, lambda: evaluate.auprc(scored_days(spark, SMALL)))
     assert plan.count("- Exchange hashpartitioning(_middle") == 1
     assert len(re.findall(r"ReusedExchange .* Exchange hashpartitioning\(_middle", plan)) == 1
 
 
+def test_auroc_hands_its_totals_up_without_a_join(spark):
+    from daymark.plans.queries import scored_days
+
+    plan = without_adaptive_execution(spark, lambda: evaluate.auroc(scored_days(spark, SMALL)))
+    assert "Join" not in plan and "ReusedExchange" not in plan
+    for level in ("hashpartitioning(_middle", "hashpartitioning(_top", "SinglePartition"):
+        assert plan.count(f"- Exchange {level}") == 1
+
+
 def test_merge_join_becomes_inner(stored):
     joined = labels.merge_by_join(stored, labels.sic_labels(stored, unique_days=True))
     optimized = joined._jdf.queryExecution().optimizedPlan().toString()
