@@ -351,7 +351,8 @@ def score_texts(
 
     def in_ranges(sent: DataFrame) -> DataFrame:
         texts_apart = F.when(F.col("order") == TEXTS, F.col("block")).otherwise(F.col("range"))
-        return sent.repartition("order", texts_apart).sortWithinPartitions("order", "range")
+        # A number that grows with the corpus, so that no task does.
+        return sent.repartition(ranges * (order + 1), "order", texts_apart).sortWithinPartitions("order", "range")
 
     words = map_batches(docs, _send(range(1, 2), ranges, False), SENT)
     found = map_batches(in_ranges(words), _vocabulary, "types long, tokens long")
