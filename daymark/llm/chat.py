@@ -125,12 +125,12 @@ def chain(matrices: list[np.ndarray], before: int = START, end: int | None = Non
     return ends[::-1]
 
 
-def path(model: RoleModel, lines: list[str], before: int, end: int) -> list[int]:
-    """The best states of the lines between two given ones."""
+def path(model: RoleModel, lines: list[str], before: int = START, end: int | None = None) -> list[int]:
+    """The best states of the lines between two given ones; without an end, of a whole transcript."""
     begin = np.full(STATES + 1, -np.inf)
     begin[before] = 0
-    _, choices = _steps(model, model.lines(lines), begin)
-    states = [end]
+    score, choices = _steps(model, model.lines(lines), begin)
+    states = [int(score.argmax()) if end is None else end]
     for choice in reversed(choices[1:]):
         states.append(int(choice[states[-1]]))
     return states[::-1]
@@ -176,7 +176,7 @@ def distinct_rows(turns: DataFrame) -> DataFrame:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with their number in the transcript, from 0, counted by places and by blocks of turns."""
+    """``rows`` with their number in the transcript, from 0, counted by places and by blocks of turns, and ``all``, how many it has."""
     keyed = rows.withColumns({"_conv": F.struct("conv_id"), "_block": F.floor(F.col("turn") / TURNS_PER_BLOCK)})
     place = ["_conv", "_block", "turn", "slice"]
     keyed = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy(*place).orderBy("tie")) - 1)
@@ -187,11 +187,12 @@ def numbered(rows: DataFrame) -> DataFrame:
 
     places = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
     blocks = places.groupBy("_conv", "_block").agg(F.sum("_n").alias("_n"))
-    from_block = blocks.select("_conv", "_block", before("_conv", order=["_block"]).alias("_from"))
+    in_all = F.sum("_n").over(Window.partitionBy("_conv"))
+    from_block = blocks.select("_conv", "_block", before("_conv", order=["_block"]).alias("_from"), in_all.alias("all"))
     starts = places.withColumn("_at", before("_conv", "_block", order=["turn", "slice"])).drop("_n")
     starts = starts.join(from_block, ["_conv", "_block"])
     row = F.col("_from") + F.col("_at") + F.col("_nth")
-    return keyed.join(starts, place).select("conv_id", "turn", "text", row.alias("row"))
+    return keyed.join(starts, place).select("conv_id", "turn", "text", row.alias("row"), "all")
 
 
 def _following(known: DataFrame) -> DataFrame:
@@ -349,6 +350,27 @@ def _follow(model: RoleModel) -> Callable:
     return run
 
 
+def _whole(model: RoleModel) -> Callable:
+    """The turns of a transcript that is one segment."""
+
+    def run(table: pa.Table) -> pa.Table:
+        places, lines = _lines(table)
+        states = path(model, lines)
+        heads = [i for i, s in enumerate(states) if s % 2 == 0]
+        roles = [ROLES[states[i] // 2] for i in heads]
+        ends = [*heads[1:], len(lines)]
+        texts = [render(role, lines[a:b]) for role, a, b in zip(roles, heads, ends, strict=True)]
+        return pa.table({
+            "conv_id": pa.array([table["conv_id"][0].as_py()] * len(heads), pa.int64()),
+            "turn": pa.array([places[i][0] for i in heads], pa.int64()),
+            "line": pa.array([places[i][1] for i in heads], pa.int32()),
+            "role": pa.array(roles, pa.string()),
+            "rendered": pa.array(texts, pa.string()),
+        })
+
+    return run
+
+
 def _join_parts(table: pa.Table) -> pa.Table:
     """One turn from its parts in one or more segments."""
     names = ("segment", "turn", "line", "role", "text")
@@ -371,11 +393,16 @@ def format_chats(turns: DataFrame, model: RoleModel, rows_per_segment: int = 256
     nothing. ``turn`` and ``line`` are the place of a found turn's first line. Null texts count as an empty line, rows without a
     conv_id as one transcript, a null turn as -1; rows equal in conv_id, turn, text and role (if there is one) count once, others
     of one place follow each other in the order of a hash. Other columns are not read, an empty table gives no rows.
+    A transcript of one segment is read at once, with the same result.
     """
     role = F.col("role") if "role" in turns.columns else F.lit(None).cast("string")
     rows = numbered(distinct_rows(turns.select("conv_id", "turn", role.alias("role"), "text")))
     rows = stored(rows.withColumn("segment", F.floor(F.col("row") / rows_per_segment)), "rows")
     let_workers_import(turns.sparkSession)
+    found = "conv_id long, turn long, line int, role string, rendered string"
+    short = F.col("all") <= rows_per_segment
+    at_once = rows.filter(short).groupBy("conv_id").applyInArrow(_whole(model), found)
+    rows = rows.filter(~short)
     matrices = rows.groupBy("conv_id", "segment").applyInArrow(
         _matrix(model), "conv_id long, segment long, matrix binary"
     )
@@ -399,7 +426,5 @@ def format_chats(turns: DataFrame, model: RoleModel, rows_per_segment: int = 256
     earlier = Window.partitionBy("_conv").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     begun = begun.select("_conv", "segment", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from"))
     crossing = crossing.join(begun, ["_conv", "segment"]).withColumn("head", F.col("_from") + F.col("nth"))
-    joined = crossing.drop("_conv").groupBy("conv_id", "head").applyInArrow(
-        _join_parts, "conv_id long, turn long, line int, role string, rendered string"
-    )
-    return whole.unionByName(joined)
+    joined = crossing.drop("_conv").groupBy("conv_id", "head").applyInArrow(_join_parts, found)
+    return at_once.unionByName(whole).unionByName(joined)
