@@ -9,7 +9,7 @@ order of their projected distance and verifies their points on the original vect
 It stops at a leaf so far away that a point as near as its k-th would have been met
 earlier with probability ``confidence``.
 
-Vectors and queries are dealt into blocks of bounded size by a hash; each pair
+Vectors and queries are dealt into blocks of bounded size by a hash of id and vector; each pair
 of a block of vectors and a block of queries is one group with its own tree,
 and the best of all blocks are merged.
 """
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daymark.llm.storage import stored
 from daymark.llm.tasks import let_workers_import
 
 SEED = 20
@@ -180,7 +181,9 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
         vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
     rows = vectors.filter(finite & F.exists(vector, lambda x: x != 0) & F.col(id_column).isNotNull())
-    return rows.select(F.col(id_column).cast("long").alias("vec_id"), vector.alias("vector"))
+    rows = rows.select(F.col(id_column).cast("long").alias("vec_id"), vector.alias("vector"))
+    # Combined before the shuffle, so that many equal rows don't meet in one block.
+    return rows.dropDuplicates(["vec_id", "vector"])
 
 
 def nearest(
@@ -203,7 +206,7 @@ def nearest(
     id and vector count once. With fewer candidates than ``k``, all are returned; without
     any, a query has no rows. Other columns are not read.
     """
-    vectors, queries = (usable(x, id_column, vector_column) for x in (vectors, queries))
+    vectors, queries = (stored(usable(x, id_column, vector_column), "vectors") for x in (vectors, queries))
     squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     n, longest = vectors.agg(F.count(F.lit(1)), F.sqrt(F.max(squares))).first()
     n_queries = queries.count()
@@ -214,7 +217,7 @@ def nearest(
             "vec_id",
             "vector",
             F.size("vector").alias("_size"),
-            F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias(own),
+            F.pmod(F.xxhash64("vec_id", "vector"), F.lit(parts)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other),
         )
 
