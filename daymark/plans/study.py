@@ -9,7 +9,6 @@ import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,7 +122,9 @@ def table_after_failed_job(spark, folder):
     failed = False
     try:
         versions.replace(dying, tables.sic_to_dic_jaam)
-    except SparkRuntimeException:
+    except Exception as error:
+        if "the job dies here" not in str(error):
+            raise
         failed = True
     return versions.read(spark, tables.sic_to_dic_jaam).withColumn("a_job_failed", F.lit(failed))
 

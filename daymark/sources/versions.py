@@ -165,7 +165,8 @@ def replace_buckets(
         outside = F.raise_error(F.lit("a row outside of the buckets to replace")).cast("int")
         place = F.when(bucket.isin(*changed), bucket).otherwise(outside) if changed else outside
     folder = _folder(path, version)
-    dealt = df.withColumn(BUCKET, place.cast("int")).repartition(BUCKET)
+    # Rows of a bucket come together, but adaptive execution deals a large bucket to several tasks.
+    dealt = df.withColumn(BUCKET, place.cast("int")).hint("rebalance", BUCKET)
     dealt.write.partitionBy(BUCKET).parquet(folder)
     present = _buckets_in(spark, folder)
     replaced = changed if changed is not None else sorted({*present, *(before.buckets or {})})
