@@ -23,8 +23,10 @@ import regex
 
 from daymark.llm.text import string_hashes, text_offsets
 
-MAX_KNOWN = 3_000_000  # pieces whose ids a worker remembers; when full, it starts anew
-SLICE_BYTES = 8 << 20
+# What a worker remembers, in bytes of its arrays; when full, it starts anew. While they grow, arrays take twice that.
+MAX_KNOWN_BYTES = 40 << 20
+BYTES_PER_PIECE = 40  # two hashes, a place, a start, and room for some ids
+SLICE_BYTES = 4 << 20
 UNSAFE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}] "
 PLAIN = regex.compile(r" ?\p{L}+| ?[.,!|]+|\n")
 
@@ -68,6 +70,9 @@ class Encoder:
         self.starts = np.zeros(1 << 12, dtype=np.int64)
         self.used = 0
 
+    def _held(self) -> int:
+        return self.count * (BYTES_PER_PIECE - 8) + self.used * self.ids.itemsize
+
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -168,7 +173,7 @@ class Encoder:
             flat = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise(" ", flat, ""))
         coded = flat.dictionary_encode()
         missing = self._find(coded.dictionary) < 0
-        if self.count + missing.sum() > MAX_KNOWN:
+        if self._held() + BYTES_PER_PIECE * int(missing.sum()) > MAX_KNOWN_BYTES:
             self._forget()
             missing[:] = True
         self._learn(coded.dictionary.filter(pa.array(missing)).to_pylist())
