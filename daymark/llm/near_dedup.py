@@ -237,11 +237,15 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     )
 
 
-def _links_of_ids(sets: DataFrame, classes: DataFrame, content: list[str]) -> DataFrame:
-    """(a, b) that join the classes of an id with several texts."""
+def ids_of_several_texts(sets: DataFrame, content: list[str]) -> DataFrame:
     differ = [F.min(c) != F.max(c) for c in content]
-    several = sets.groupBy("doc_id").agg((differ[0] | differ[1] | differ[2]).alias("_differ")).filter("_differ")
-    held = sets.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", *content)
+    by_id = sets.groupBy("doc_id").agg((differ[0] | differ[1] | differ[2]).alias("_differ"))
+    return by_id.filter("_differ").select("doc_id")
+
+
+def _links_of_ids(sets: DataFrame, several: DataFrame, classes: DataFrame, content: list[str]) -> DataFrame:
+    """(a, b) that join the classes of an id with several texts."""
+    held = sets.join(several, "doc_id", "left_semi").select("doc_id", *content)
     return held.join(classes, content).filter("doc_id != node").select(
         F.col("node").alias("a"), F.col("doc_id").alias("b")
     )
@@ -294,7 +298,10 @@ def near_duplicates(
     )
 
     found = confirmed(star_pairs(members, percent), texts, words, percent)
-    links = stored(found.union(_links_of_ids(linkable, classes, content)), "links")
+    several = ids_of_several_texts(linkable, content)
+    if not several.isEmpty():
+        found = found.union(_links_of_ids(linkable, several, classes, content))
+    links = stored(found, "links")
     trees = components(links)
     rest = stored(unsettled(members, trees), "unsettled")
     if not rest.isEmpty():

@@ -24,7 +24,7 @@ import regex
 from daymark.llm.text import string_hashes, text_offsets
 
 # What a worker remembers, in bytes of its arrays; when full, it starts anew. While they grow, arrays take twice that.
-MAX_KNOWN_BYTES = 40 << 20
+MAX_KNOWN_BYTES = 80 << 20
 BYTES_PER_PIECE = 40  # two hashes, a place, a start, and room for some ids
 SLICE_BYTES = 4 << 20
 UNSAFE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}] "
