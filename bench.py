@@ -47,7 +47,6 @@ HEADLINE = [
     "preceding_24_hours",
     "labels_after_new_days",
     "sic_labels_by_date",
-    "fairness_intervals",
     "out_of_fold_rows",
     "free_of_dic",
 ]
