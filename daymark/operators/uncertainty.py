@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,14 +22,22 @@ def poisson_cuts(draws: int = 1 << DRAW_BITS) -> list[int]:
     return [math.floor(draws * sum(shares[: k + 1])) for k in range(MOST_OFTEN)]
 
 
+def _draw(subject: Column, replicate: Column) -> Column:
+    """A hash of both as hexadecimal digits, which are ordered as the numbers they stand for."""
+    text = F.concat_ws(":", subject.cast("string"), replicate.cast("string"))
+    return F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4)
+
+
+def _weight_of(draw: Column) -> Column:
+    """How many of the cuts are not above the draw. ``draw`` is read once for each cut, so it has to be a plain column."""
+    reached = [(draw >= F.lit(f"{cut:0{DRAW_BITS // 4}x}")).cast("int") for cut in poisson_cuts()]
+    return reduce(lambda a, b: a + b, reached)
+
+
 def subject_weight(subject: Column, replicate: Column) -> Column:
     """How often a subject counts in a replicate, from a hash of both alone."""
-    text = F.concat_ws(":", subject.cast("string"), replicate.cast("string"))
-    draw = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("long")
-    weight = F.lit(0)
-    for cut in poisson_cuts():
-        weight = weight + (draw >= F.lit(cut)).cast("int")
-    return weight
+    # As the only element of an array the hash is worked out once for all cuts.
+    return F.element_at(F.transform(F.array(_draw(subject, replicate)), _weight_of), 1)
 
 
 def replicated(
@@ -42,8 +51,13 @@ def replicated(
     """
     rows = scored.filter(F.col(subject).isNotNull()).select(subject, *keep)
     numbered = rows.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
-    weight = F.when(F.col("replicate") == 0, 1).otherwise(subject_weight(F.col(subject), F.col("replicate")))
-    return numbered.withColumn("weight", weight).filter("weight > 0")
+    # The hash is a column of its own, and the filter names it once: the optimizer repeats
+    # an expression wherever a filter or a later column stands for it.
+    drawn = numbered.withColumn("_draw", _draw(F.col(subject), F.col("replicate")))
+    least = f"{poisson_cuts()[0]:0{DRAW_BITS // 4}x}"
+    counted = drawn.filter((F.col("replicate") == 0) | (F.col("_draw") >= least))
+    weight = F.when(F.col("replicate") == 0, 1).otherwise(_weight_of(F.col("_draw")))
+    return counted.withColumn("weight", weight).drop("_draw")
 
 
 def auroc_replicates(

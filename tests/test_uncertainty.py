@@ -49,6 +49,17 @@ def test_weights_are_poisson_and_the_same_everywhere(spark):
     assert share == pytest.approx([math.exp(-1) / math.factorial(k) for k in range(4)], abs=0.03)
 
 
+def test_a_hash_is_worked_out_once_for_all_cuts(spark):
+    df = spark.createDataFrame([(1, 0, 0.5, "a")], "subject_id long, label int, score double, g string")
+
+    def hashes(rows):
+        return rows._jdf.queryExecution().optimizedPlan().toString().count("md5(")
+
+    # Once in the filter and once for the rows that it leaves; it was 24 times.
+    assert 1 <= hashes(uncertainty.auroc_replicates(df, 5, groups=["g"])) <= 2
+    assert hashes(df.select(uncertainty.subject_weight(F.col("subject_id"), F.col("label")).alias("w"))) == 1
+
+
 def test_replicates_against_repeated_subjects(spark):
     rng = random.Random(2)
     rows = [(rng.randrange(30), rng.randrange(2), rng.randrange(40) / 40, rng.choice("ab")) for _ in range(600)]
