@@ -73,6 +73,41 @@ def test_many_near_copies_of_one_line(spark, monkeypatch, direct, often):
     assert {(r.doc_id, r.n_removed) for r in got} == {(i, expected[i, t][1]) for i, t in rows}
 
 
+@pytest.mark.parametrize("at_once", [32, 1])
+def test_lines_that_share_frequent_words_only(spark, monkeypatch, at_once):
+    monkeypatch.setattr(line_dedup, "OFTEN", 5)
+    monkeypatch.setattr(line_dedup, "DIRECT", 10)
+    monkeypatch.setattr(line_dedup, "MOST_AT_ONCE", at_once)
+    rng = random.Random(4)
+    rows = []
+    for i in range(150):
+        words = rng.choice([[f"a{k}" for k in range(n)] for n in (5, 6, 9, 14, 30)])
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            words[rng.randrange(len(words))] = rng.choice([f"a{rng.randrange(30)}", f"y{i}"])
+        rows.append((i, " ".join(words)))
+    expected = brute(rows)
+    got = deduplicate_lines(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.n_removed) for r in got} == {(i, expected[i, t][1]) for i, t in rows}
+
+
+def test_long_lines_that_share_words_make_no_pairs(spark, monkeypatch):
+    made = []
+
+    def counted(df, name, plain=line_dedup.stored):
+        out = plain(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(2000)]
+    rows = [(i, " ".join(rng.sample(words, 160))) for i in range(200)]
+    got = deduplicate_lines(documents(spark, rows)).collect()
+    assert sum(r.n_removed for r in got) == 0
+    assert sum(made) < 200
+
+
 def test_empty_table(spark):
     assert deduplicate_lines(documents(spark, [])).collect() == []
 
